@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import mixing, nearest_time, packing, rank_fusion
+from reelspark.llm import lookalike, mixing, nearest_time, packing, rank_fusion
 
 CAPACITY = 2048
 SCORES = {"bm25_score": (1.0, False), "semantic_score": (1.0, True), "entity_score": (1.0, True), "reranker_score": (1.0, True)}
@@ -36,6 +36,20 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return fused.filter("fused_rank <= 5").select("query_id", "document_id")
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    parts = (("documents", "doc_id", "combined_text"), ("ocr_records", "ocr_id", "text"), ("subtitle_cues", "cue_id", "text"))
+    frames = [table(spark, sf, t).select(F.lit(t).alias("src"), F.col(i).alias("id"), F.col(c).alias("text")) for t, i, c in parts]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalike.same_look_pairs(_texts(spark, sf))
+
+
+def p5_consistent(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalike.consistent(_texts(spark, sf)).select("src", "id", "canonical")
+
+
 def p7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), capacity=CAPACITY)
 
@@ -56,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_fused": p3_fused,
+    "p5_found": p5_found,
+    "p5_consistent": p5_consistent,
     "p7_packing": p7_packing,
     "p7_containers": p7_containers,
     "p8_selection": p8_selection,
