@@ -97,7 +97,8 @@ def pack(
         name = pdf["shard"].astype(str) + "-" + pd.Series(at, index=pdf.index).astype(str)
         return pd.DataFrame({"id": pdf["id"], "piece_no": pdf["piece_no"], "piece_start": pdf["piece_no"] * capacity, "piece_size": pdf["piece_size"], "container_id": name})
 
-    packed = rest.groupBy("shard").applyInPandas(shard_fill, f"id {kind}, piece_no bigint, piece_start bigint, piece_size bigint, container_id string")
+    # the rows are few bytes but much work: an explicit number of partitions keeps the shards apart
+    packed = rest.repartition(max(1, shards // 2), "shard").groupBy("shard").applyInPandas(shard_fill, f"id {kind}, piece_no bigint, piece_start bigint, piece_size bigint, container_id string")
     return packed.unionByName(whole).withColumnRenamed("id", id)
 
 

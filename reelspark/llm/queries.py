@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import lookalike, mixing, nearest_time, packing, rank_fusion
+from reelspark.llm import lookalike, mixing, nearest_time, neighbours, packing, rank_fusion
 
 CAPACITY = 2048
 SCORES = {"bm25_score": (1.0, False), "semantic_score": (1.0, True), "entity_score": (1.0, True), "reranker_score": (1.0, True)}
@@ -36,6 +36,20 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return fused.filter("fused_rank <= 5").select("query_id", "document_id")
 
 
+def _vectors(spark: SparkSession, sf: str) -> DataFrame:
+    v = table(spark, sf, "embeddings_cache").select("cache_id", "provider", "model", "dimension", "vector")
+    return v.filter(neighbours.usable(F.col("vector"), F.col("dimension")))
+
+
+_MODEL = ["provider", "model", "dimension"]
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    near = neighbours.similar_vectors(_vectors(spark, sf), id="cache_id", vector="vector", groups=_MODEL, k=5, min_cosine=0.9)
+    found = neighbours.mutual(near)
+    return found.select(F.col("id_a").alias("cache_id_a"), F.col("id_b").alias("cache_id_b"))
+
+
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
     parts = (("documents", "doc_id", "combined_text"), ("ocr_records", "ocr_id", "text"), ("subtitle_cues", "cue_id", "text"))
     frames = [table(spark, sf, t).select(F.lit(t).alias("src"), F.col(i).alias("id"), F.col(c).alias("text")) for t, i, c in parts]
@@ -70,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_fused": p3_fused,
+    "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_consistent": p5_consistent,
     "p7_packing": p7_packing,
