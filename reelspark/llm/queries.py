@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import lookalike, mixing, nearest_time, neighbours, packing, rank_fusion
+from reelspark.llm import lookalike, mixing, nearest_time, neighbours, packing, pii, rank_fusion
 
 CAPACITY = 2048
 SCORES = {"bm25_score": (1.0, False), "semantic_score": (1.0, True), "entity_score": (1.0, True), "reranker_score": (1.0, True)}
@@ -80,6 +80,20 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(p8_selection(spark, sf), table(spark, sf, "mix_targets"))
 
 
+def _pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    entities = docs.select(F.explode("entities").alias("e")).select("e.*")
+    return pii.find_pii(docs, entities, id="doc_id", text="text")
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _pii(spark, sf).select("doc_id", "line_no", "pii_type").distinct()
+
+
+def p9_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.redact(table(spark, sf, "documents"), _pii(spark, sf), id="doc_id", text="text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p3_found": p3_found,
@@ -91,4 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_containers": p7_containers,
     "p8_selection": p8_selection,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_redacted": p9_redacted,
 }
