@@ -180,7 +180,9 @@ def similar_vectors(
         return pd.DataFrame({"g": np.full(len(a), pdf["g"].iloc[0], np.int64), "id_a": a, "id_b": b})
 
     met = tasks.groupBy("g", "table", "level", "code").applyInPandas(compare, f"g bigint, id_a {kind}, id_b {kind}").distinct()
-    met = _exact_cosine(met, rows).filter(F.col("cosine") >= min_cosine)
+    # few and narrow rows that several branches read: written once, or every branch would compare the buckets again
+    met = materialize(met, "met")
+    met = materialize(_exact_cosine(met, rows).filter(F.col("cosine") >= min_cosine), "cosines")
     return _with_copies(met, members, rows.select("g", "id", "asks"), k).select("id_a", "id_b", "cosine", "place")
 
 
