@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelspark.session import materialize
+
 #: ICU root collation at its default strength: it tells accents, case and digits apart, not invisible or canonically equal characters.
 COLLATION = "UNICODE"
 
@@ -70,8 +72,15 @@ def visible_form(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(composed, " {2,}", " "), " ?(\r\n|\r|\n) ?", "\n"))
 
 
-def _keyed(texts: DataFrame) -> DataFrame:
-    return texts.filter("id is not null and length(text) > 0").select("src", "id", "text", F.collate(visible_form(F.col("text")), COLLATION).alias("look"))
+def _blocked(texts: DataFrame) -> DataFrame:
+    """Rows with their visible form and a hash that is equal wherever the collation holds two forms equal.
+
+    The collation tells letters and digits apart and ignores some characters altogether; a hash of the letters and digits
+    alone is therefore coarser. It is what gets aggregated over all rows: grouping all of them under the collation itself
+    would sort them by Unicode comparisons.
+    """
+    rows = texts.filter("id is not null and length(text) > 0").select("src", "id", "text", visible_form(F.col("text")).alias("look"))
+    return rows.withColumn("block", F.xxhash64("src", F.lower(F.regexp_replace("look", r"[^\p{L}\p{N}]+", ""))))
 
 
 def variant_classes(texts: DataFrame) -> DataFrame:
@@ -84,12 +93,14 @@ def variant_classes(texts: DataFrame) -> DataFrame:
     Spellings are aggregated before the shuffle, so a phrase that makes up a third of all rows is a single row of it.
     Null and empty texts and null ids belong to no class. Repeated rows are separate members.
     """
-    rows = _keyed(texts)
-    spread = rows.groupBy("src", "look").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("src", "look")
-    members = rows.join(spread, ["src", "look"])
+    rows = _blocked(texts)
+    several = rows.groupBy("block").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("block")
+    members = rows.join(several, "block", "left_semi").select("src", "id", "text", F.collate("look", COLLATION).alias("look"))
+    members = materialize(members, "looks")
     spellings = members.groupBy("src", "look", "text").agg(F.count(F.lit(1)).alias("n"))
-    canonical = spellings.groupBy("src", "look").agg(F.min_by("text", F.struct(-F.col("n"), "text")).alias("canonical"))
-    return members.join(canonical, ["src", "look"]).select("src", "id", "text", F.xxhash64("src", "canonical").alias("class_id"), "canonical")
+    canonical = spellings.groupBy("src", "look").agg(F.min_by("text", F.struct(-F.col("n"), "text")).alias("canonical"), F.count(F.lit(1)).alias("spellings"))
+    classes = members.join(canonical.filter("spellings > 1"), ["src", "look"])
+    return classes.select("src", "id", "text", F.xxhash64("src", "canonical").alias("class_id"), "canonical")
 
 
 def consistent(texts: DataFrame) -> DataFrame:
