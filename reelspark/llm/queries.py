@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import lookalike, mixing, nearest_time, neighbours, packing, pii, rank_fusion
+from reelspark.llm import lookalike, mixing, mojibake, nearest_time, neighbours, packing, pii, rank_fusion
 
 CAPACITY = 2048
 SCORES = {"bm25_score": (1.0, False), "semantic_score": (1.0, True), "entity_score": (1.0, True), "reranker_score": (1.0, True)}
@@ -64,6 +64,25 @@ def p5_consistent(spark: SparkSession, sf: str) -> DataFrame:
     return lookalike.consistent(_texts(spark, sf)).select("src", "id", "canonical")
 
 
+def _maybe_garbled(spark: SparkSession, sf: str) -> DataFrame:
+    parts = (("documents", "doc_id", "subtitle_text"), ("documents", "doc_id", "ocr_text"), ("subtitle_cues", "cue_id", "text"))
+    frames = [table(spark, sf, t).select(F.lit(f"{t}.{c}").alias("src"), F.col(i).alias("rec_id"), F.col(c).alias("text")) for t, i, c in parts]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return mojibake.restore(_maybe_garbled(spark, sf)).select("src", "rec_id")
+
+
+def p6_restored(spark: SparkSession, sf: str) -> DataFrame:
+    return mojibake.restore(_maybe_garbled(spark, sf))
+
+
+def p6_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    texts = _maybe_garbled(spark, sf).filter("length(text) > 0")
+    return mojibake.mapping(mojibake.learn(texts)).select("src", "unit", "letter", F.round("weight", 3).alias("weight"))
+
+
 def p7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), capacity=CAPACITY)
 
@@ -101,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_consistent": p5_consistent,
+    "p6_found": p6_found,
+    "p6_restored": p6_restored,
+    "p6_mapping": p6_mapping,
     "p7_packing": p7_packing,
     "p7_containers": p7_containers,
     "p8_selection": p8_selection,
