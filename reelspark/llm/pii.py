@@ -90,19 +90,26 @@ _ADDRESS = "|".join((
     rf"(?:\d{{6}}, )?(?:(?:г\.|город) {_NAMES}, )?(?:ул\.|улица|пер\.|переулок|пр\.|проспект|наб\.|бул\.|пл\.|шоссе) ?{_NAMES}, (?:д\.|дом) ?\d+\w?(?:, (?:к|корп|стр)\. ?\d+)?(?:, (?:кв\.|квартира) ?\d+)?",
 ))
 
+#: Strings one of which every text with the form contains: most texts are spared most patterns.
+_AT_SIGNS = ("@", "＠", "at)", "at]", "at}", "(at", "[at", " at ", "a còng", "arroba", "собака", "arobase")
+_ID_SIGNS = (
+    "ssn", "social", "tax ", "national id", "identity", "id card", "id number", "passport", "cccd", "cmnd", "căn cước", "định danh", "chứng minh", "giấy tờ", "hộ chiếu", "mã số",
+    "sécurité", "passeport", "carte d", "numéro fiscal", "cpf", "rg ", "nif ", "passaporte", "bilhete", "cartão", "паспорт", "снилс", "инн", "удостоверени",
+)
+_DIGITS = frozenset(" ".join(_DIGIT_WORDS).split())
 _RE = [
-    ("EMAIL", re.compile(_EMAIL, re.I)),
-    ("ADDRESS", re.compile(rf"(?<!\w)(?:{_ADDRESS})")),
-    ("ID_NUMBER", re.compile(_ID_CUED, re.I)),
-    ("ID_NUMBER", re.compile(_ID_AFTER, re.I)),
-    ("ID_NUMBER", re.compile(_ID_SHAPE)),
-    ("PHONE", re.compile(_PHONE)),
-    ("PHONE", re.compile(rf"(?<!\w)(?:{_SPOKEN})", re.I)),
+    ("EMAIL", re.compile(_EMAIL, re.I), lambda low: any(x in low for x in _AT_SIGNS)),
+    ("ADDRESS", re.compile(rf"(?<!\w)(?:{_ADDRESS})"), None),
+    ("ID_NUMBER", re.compile(_ID_CUED, re.I), lambda low: any(x in low for x in _ID_SIGNS)),
+    ("ID_NUMBER", re.compile(_ID_AFTER, re.I), lambda low: " as " in low or " is " in low or " for " in low),
+    ("ID_NUMBER", re.compile(_ID_SHAPE), None),
+    ("PHONE", re.compile(_PHONE), None),
+    ("PHONE", re.compile(rf"(?<!\w)(?:{_SPOKEN})", re.I), lambda low: sum(map(_DIGITS.__contains__, low.replace(",", " ").replace("-", " ").split())) >= 6),
 ]
 _ONE = rf"[{_U}](?:\.|[\w'’]*)"  # a word, or an initial with its point
 _RUN = re.compile(rf"(?<![\w@.]){_ONE}(?:[- ]{_ONE}){{1,4}}(?![\w@])")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-_ODD = re.compile("[̀-ͯ​-‏⁠﻿­＀-￯   -   　]")
+_ODD = re.compile("[\u0300-\u036f\u200b-\u200f\u2060\ufeff\u00ad\uff00-\uffef\u00a0\u2000-\u200a\u202f\u205f\u3000]")
 
 
 def _plain(text: str) -> tuple[str, list[int] | None]:
@@ -131,7 +138,10 @@ def spans(text: str) -> list[tuple[str, int, int, str, str, str]]:
     out = []
     place = (lambda k: k) if at is None else at.__getitem__
     free = lambda a, b: all(b <= x or a >= y for x, y in taken)
-    for kind, pattern in _RE:
+    low = plain.lower()
+    for kind, pattern, may in _RE:
+        if may is not None and not may(low):
+            continue
         for m in pattern.finditer(plain):
             a, b = m.span(m.lastgroup) if m.lastgroup else m.span()
             if kind == "ID_NUMBER" and sum(c.isdigit() for c in plain[a:b]) < 6:
