@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import lookalike, mixing, mojibake, nearest_time, neighbours, packing, pii, rank_fusion
+from reelspark.llm import lookalike, mixing, mojibake, names, nearest_time, neighbours, packing, pii, rank_fusion
 
 CAPACITY = 2048
 SCORES = {"bm25_score": (1.0, False), "semantic_score": (1.0, True), "entity_score": (1.0, True), "reranker_score": (1.0, True)}
@@ -17,6 +17,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _linked(spark: SparkSession, sf: str) -> DataFrame:
+    aliases = table(spark, sf, "entity_aliases").select(F.col("alias_id").alias("id"), "canonical", "aliases")
+    spellings = F.concat(F.array("canonical"), F.coalesce("aliases", F.array().cast("array<string>")))
+    rows = aliases.select("id", F.explode(spellings).alias("name"))
+    mentions = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.explode("entities.text").alias("name"))
+    return names.link_names(rows, mentions)
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return names.linked_pairs(_linked(spark, sf))
+
+
+def p1_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return _linked(spark, sf)
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     at = nearest_time.ocr_on_video_clock(table(spark, sf, "ocr_records"), table(spark, sf, "scenes"))
     middle = nearest_time.cue_middle(F.col("start_seconds"), F.col("end_seconds"))
@@ -114,6 +130,8 @@ def p9_redacted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_entities": p1_entities,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_fused": p3_fused,
