@@ -72,7 +72,7 @@ def gate(frames: DataFrame, by: list[str], s: KeyframeSettings | None = None, ne
     A frame is a transition blur where it is less sharp than ``blur_ratio`` times its sharper neighbour.
     """
     s = s or KeyframeSettings()
-    order = Window.partitionBy(*by).orderBy("frame_index")
+    order = Window.partitionBy(*by).orderBy("frame_index", "sharpness")
     around = F.greatest(F.lag("sharpness", neighbours).over(order), F.lead("sharpness", neighbours).over(order))
     good = (F.col("sharpness") >= s.min_sharpness) & F.col("brightness").between(s.min_brightness, s.max_brightness) & ~F.coalesce(F.col("sharpness") < around * s.blur_ratio, F.lit(False))
     marked = frames.withColumn("__ok", F.coalesce(good, F.lit(False)))

@@ -99,7 +99,10 @@ def entity_email(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entity_acronym(spark: SparkSession, sf: str) -> DataFrame:
-    return E.pattern_entities(table(spark, sf, "documents"), "ocr_text", r"\b[A-Z][A-Z0-9._-]+\b", "ORG", "doc_id")
+    """Whole words of plain capitals and digits in the OCR text."""
+    words = F.regexp_extract_all("ocr_text", F.lit(r"([\p{L}\p{M}\p{N}_]+)"))
+    found = F.explode(F.array_distinct(F.filter(words, lambda w: w.rlike("^[A-Z][A-Z0-9]+$"))))
+    return table(spark, sf, "documents").select("doc_id", found.alias("entity_text"), F.lit("ORG").alias("entity_type"))
 
 
 def entity_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,11 +187,12 @@ def _hit_lists(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def hybrid_rrf(spark: SparkSession, sf: str) -> DataFrame:
     out = U.hybrid_rank(U.merge_hits(_hit_lists(spark, sf)), limit=10)
-    return out.select("query_id", "document_id", F.round("final_score", 8).alias("final_score"), "final_rank")
+    return out.select("query_id", "document_id", "final_score", "final_rank")
 
 
 def merged_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return U.merge_hits(_hit_lists(spark, sf)).drop("bm25_score", "semantic_score", "entity_score")
+    ranks = [F.col(f"{n}_rank").cast("double").alias(f"{n}_rank") for n in U.WEIGHTS]
+    return U.merge_hits(_hit_lists(spark, sf)).select("query_id", "document_id", *ranks, "entity_overlap")
 
 
 def rerank_blend(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,7 +317,7 @@ def _runs(spark: SparkSession, sf: str) -> DataFrame:
 
 def eval_details(spark: SparkSession, sf: str) -> DataFrame:
     m = V.query_metrics(_runs(spark, sf), _labelled(spark, sf))
-    return m.select("mode", "query_id", "first_relevant_rank", *[F.round(c, 9).alias(c) for c in ("recall_at_5", "recall_at_10", "reciprocal_rank")])
+    return m.select("mode", "query_id", F.col("first_relevant_rank").cast("double").alias("first_relevant_rank"), *[F.round(c, 9).alias(c) for c in ("recall_at_5", "recall_at_10", "reciprocal_rank")])
 
 
 def eval_report(spark: SparkSession, sf: str) -> DataFrame:
