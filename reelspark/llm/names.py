@@ -224,9 +224,6 @@ def name_cost(a: str, b: str, known: frozenset[str]) -> float:
 
 # --- linking ----------------------------------------------------------------------------------------------------------
 
-_ROUNDS = 20
-
-
 def _forms(names: DataFrame) -> DataFrame:
     """``name, form`` for every rewriting of each distinct name."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,18 +267,21 @@ def _words_of(names: DataFrame) -> DataFrame:
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that each node is linked to; ``edges`` has ``a, b``.
 
-    Labels pass along the links until none changes; every round is written to the shared folder.
+    Each round takes the smallest label among the neighbours and then the label of that label, so the number of rounds
+    grows with the logarithm of the longest chain; it ends when none changes. Every round is written to the shared folder.
     """
     both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     now = materialize(nodes.select("node", F.col("node").alias("root")), "roots")
-    for _ in range(_ROUNDS):
+    moved = True
+    while moved:
         nearer = both.join(now, both.a == now.node).groupBy(F.col("b").alias("node")).agg(F.min("root").alias("near"))
-        after = now.join(nearer, "node", "left").select("node", F.least("root", "near").alias("root"), (F.col("near") < F.col("root")).alias("moved"))
+        step = now.join(nearer, "node", "left").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
+        # the label of the label: a node's own label may have fallen in the same round
+        jump = now.select(F.col("node").alias("root"), F.col("root").alias("further"))
+        after = step.join(jump, "root", "left").select("node", F.least("root", "further").alias("root"), (F.least("root", "further") < F.col("was")).alias("moved"))
         after = materialize(after, "roots")
         moved = not after.filter("moved").isEmpty()
         now = after.select("node", "root")
-        if not moved:
-            break
     return now
 
 

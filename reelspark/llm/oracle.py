@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelspark.llm import rank_fusion
+from reelspark.llm import lookalike, rank_fusion
 
 _P2 = """
 with o as (
@@ -52,7 +52,33 @@ with items as (
 )
 """
 
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_LOOK = f"trim(regexp_replace(regexp_replace(nfc_normalize(replace(replace(translate(text, {_quoted(lookalike._FROM)}, {_quoted(lookalike._TO)}), 'ﬁ', 'fi'), 'ﬂ', 'fl')), ' {{2,}}', ' ', 'g'), ' ?\\n ?', '\n', 'g'))"
+_P5 = f"""
+with t as (
+  select 'documents' as src, doc_id as id, combined_text as text from documents union all select 'ocr_records', ocr_id, text from ocr_records
+  union all select 'subtitle_cues', cue_id, text from subtitle_cues
+), k as (select src, id, text, {_LOOK} as look from t where length(text) > 0)
+select distinct a.src, a.id as id_a, b.id as id_b from k a join k b on a.src = b.src and a.look = b.look and a.id < b.id and a.text <> b.text
+"""
+
+_P4 = """
+with v as (
+  select cache_id, provider, model, dimension, vector::double[] as v from embeddings_cache
+  where vector is not null and len(vector) = dimension and list_sum(list_transform(vector, lambda x: abs(x))) > 0
+), p as (
+  select a.cache_id as a, b.cache_id as b, round(list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)), 9) as c
+  from v a join v b on a.provider = b.provider and a.model = b.model and a.dimension = b.dimension and a.cache_id <> b.cache_id
+), r as (select a, b from (select *, row_number() over (partition by a order by c desc, b) as n from p) where n <= 5 and c >= 0.9)
+select x.a as cache_id_a, x.b as cache_id_b from r x join r y on x.a = y.b and x.b = y.a where x.a < x.b
+"""
+
 ORACLE: dict[str, str] = {
+    "p4_found": _P4,
+    "p5_found": _P5,
     "p2_found": _P2,
     "p3_fused": _P3 + "select query_id, document_id, round(fused_score, 6) as fused_score, n_scores from z",
     "p3_found": _P3 + """select query_id, document_id from (select *, row_number() over (partition by query_id

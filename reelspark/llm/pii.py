@@ -249,9 +249,9 @@ def disclosure(candidates: DataFrame, known: DataFrame, rounds: int = 4) -> Data
 
 
 def known_words(entities: DataFrame) -> DataFrame:
-    """``word, share`` from ``text, type`` rows of named entities: of the entities with the word, the share typed PERSON."""
+    """``word, share`` from ``text, type`` rows of named entities: of the entities with the word, the share typed PERSON, smoothed towards a half."""
     e = entities.filter("text is not null and type is not null").select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word"), (F.upper("type") == "PERSON").cast("double").alias("p"))
-    return e.groupBy("word").agg((F.sum("p") / (F.count(F.lit(1)) + 1)).alias("share"))
+    return e.groupBy("word").agg(((F.sum("p") + 0.5) / (F.count(F.lit(1)) + 1)).alias("share"))
 
 
 def find_pii(docs: DataFrame, entities: DataFrame, *, id: str, text: str, threshold: float = 0.5, rounds: int = 4) -> DataFrame:
