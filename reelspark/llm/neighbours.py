@@ -15,8 +15,10 @@ from reelspark.session import materialize
 
 def usable(vector: Column, dimension: Column | None = None) -> Column:
     """True where a vector is not null, has the full length, only finite numbers, and is not zero."""
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(1e30))) & F.exists(vector, lambda x: x != 0)
-    return F.coalesce(vector.isNotNull() & sound & ((F.size(vector) == dimension) if dimension is not None else F.lit(True)), F.lit(False))
+    # the ends of the range tell most, NaN being the greatest number; only then is each element looked at
+    top, low = F.array_max(vector), F.array_min(vector)
+    sound = (top < F.lit(1e30)) & (low > F.lit(-1e30)) & ((top != 0) | (low != 0)) & ~F.exists(vector, lambda x: x.isNull())
+    return F.coalesce(vector.isNotNull() & ((F.size(vector) == dimension) if dimension is not None else F.lit(True)) & sound, F.lit(False))
 
 
 def _unit(rows: list, dim: int) -> np.ndarray:
@@ -55,6 +57,8 @@ def _axes(x: np.ndarray, probes: int) -> np.ndarray:
 
 #: Above the error of a cosine between coarse vectors: rows within it of the k-th best are kept for the exact comparison.
 SCREEN = 0.01
+#: Up to so many groups (of 12 bytes each) are broadcast.
+FEW_GROUPS = 50_000
 
 
 class CrossPolytope:
@@ -83,7 +87,7 @@ class CrossPolytope:
 
 def similar_vectors(
     vectors: DataFrame, *, id: str, vector: str, groups: list[str], k: int = 5, min_cosine: float = -1.0,
-    tables: int = 4, probes: int = 2, rows_per_bucket: int = 256, full_bucket: int = 4096, query: Column | None = None, seed: int = 5,
+    tables: int = 5, probes: int = 2, rows_per_bucket: int = 256, full_bucket: int = 4096, query: Column | None = None, seed: int = 5,
 ) -> DataFrame:
     """``id_a, id_b, cosine, place``: for each row its ``k`` most similar rows among those of equal ``groups``.
 
@@ -111,15 +115,16 @@ def similar_vectors(
     copies = suspects.groupBy("g", "h", "v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.max("asks").alias("any_asks"))
     members = materialize(suspects.join(copies.filter("n > 1"), ["g", "h", "v"]).select("g", "rep", "id", "asks"), "copies")
     columns = ["g", "id", "asks", "v"]
-    rows = base.join(again, ["g", "h"], "left_anti").select(*columns).unionByName(copies.select("g", F.col("rep").alias("id"), F.col("any_asks").alias("asks"), "v"))
+    rows = materialize(base.join(again, ["g", "h"], "left_anti").select(*columns).unionByName(copies.select("g", F.col("rep").alias("id"), F.col("any_asks").alias("asks"), "v")), "rows")
 
     # the last axis of the codes follows each group's size: one number for each group
     sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("v")).alias("dim"))
     power = F.ceil(F.log2(F.greatest(F.col("dim"), F.lit(2))))
     wanted = F.col("rows") / F.lit(float(rows_per_bucket)) / F.pow(2.0, power + 1)
     last = F.when(wanted <= 1, 0).otherwise(F.least(F.pow(2.0, power), F.pow(2.0, F.ceil(F.log2(wanted)) - 1))).cast("int")
-    # one row a group (a model): joined by the planner's choice, never collected
-    rows = rows.join(sizes.select("g", last.alias("last")), "g")
+    # one row a group: broadcast if they are few, else a join on the group would put each group into one task
+    sizes = materialize(sizes.select("g", last.alias("last")), "groups")
+    hashable = rows.join(F.broadcast(sizes) if sizes.count() <= FEW_GROUPS else sizes, "g")
 
     def hashed(level: int, homes_only: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,13 +154,13 @@ def similar_vectors(
 
     key = ["g", "table", "code"]
     layout = f"g bigint, table int, code bigint, id {kind}, home boolean, asks boolean, u binary"
-    tasks = rows.mapInArrow(hashed(0, False), layout).withColumn("level", F.lit(0))
-    counted = rows.mapInArrow(hashed(0, True), "g bigint, table int, code bigint").groupBy(*key).count()
+    tasks = hashable.mapInArrow(hashed(0, False), layout).withColumn("level", F.lit(0))
+    counted = hashable.mapInArrow(hashed(0, True), "g bigint, table int, code bigint").groupBy(*key).count()
     full = materialize(counted.filter(F.col("count") > full_bucket).select(*key), "full")
     if not full.isEmpty():
         # a full bucket's rows go to the buckets of one more axis; the level keeps the two kinds of code apart
         size = F.pow(2.0, F.ceil(F.log2(F.greatest(F.length("u"), F.lit(2)))) + 1).cast("bigint")
-        split = rows.mapInArrow(hashed(1, False), layout).withColumn("outer", F.floor(F.col("code") / size).cast("bigint"))
+        split = hashable.mapInArrow(hashed(1, False), layout).withColumn("outer", F.floor(F.col("code") / size).cast("bigint"))
         split = split.join(full.withColumnRenamed("code", "outer"), ["g", "table", "outer"], "left_semi")
         tasks = tasks.join(full, key, "left_anti").unionByName(split.drop("outer").withColumn("level", F.lit(1)))
 
