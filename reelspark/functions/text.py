@@ -128,7 +128,7 @@ def first_by_key(items: Column, key) -> Column:
 def timestamp_seconds(text: Column) -> Column:
     """``HH:MM:SS,mmm`` as seconds."""
     part = F.split(F.replace(text, F.lit(","), F.lit(".")), ":")
-    at = lambda i: F.try_element_at(part, F.lit(i)).cast("double")
+    at = lambda i: F.try_element_at(part, F.lit(i)).try_cast("double")
     return at(1) * 3600 + at(2) * 60 + at(3)
 
 

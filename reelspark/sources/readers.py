@@ -72,7 +72,7 @@ def _blocks(files: DataFrame) -> DataFrame:
 
 def subtitle_texts(spark: SparkSession, path: str) -> DataFrame:
     """``path, value``: whole subtitle files."""
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.{srt,vtt}").text(path).select(F.input_file_name().alias("path"), "value")
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.{srt,vtt}").select(F.input_file_name().alias("path"), "value")
 
 
 def subtitle_cues(files: DataFrame, repair: bool = True) -> DataFrame:
