@@ -36,11 +36,13 @@ def _fold_table() -> tuple[str, str]:
 
 
 FOLD_FROM, FOLD_TO = _fold_table()
+#: Combining marks; translate() deletes what has no counterpart.
+MARKS = "".join(chr(c) for low, high in ((0x300, 0x370), (0x483, 0x48A), (0x1AB0, 0x1B00), (0x1DC0, 0x1E00), (0x20D0, 0x2100), (0xFE20, 0xFE30)) for c in range(low, high) if unicodedata.category(chr(c))[0] == "M")
 
 
 def fold(text: Column) -> Column:
     """Lower case without accents, widths and compatibility forms; sharp s as ss, d with stroke as d."""
-    return F.regexp_replace(F.regexp_replace(F.translate(F.lower(text), FOLD_FROM, FOLD_TO), "ß", "ss"), r"\p{M}+", "")
+    return F.replace(F.translate(F.lower(text), FOLD_FROM + MARKS, FOLD_TO), F.lit("ß"), F.lit("ss"))
 
 
 def tokens(text: Column) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,17 +126,13 @@ def temporal_dedup(hits: DataFrame, seconds: float = 30.0, similar: float = 0.55
     if seconds <= 0:
         return hits.drop("terms")
     far = max(3 * seconds, 90.0)
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["final_rank", id])
-        accepted: list[tuple[float, set]] = []
-        mask = []
-        for start, terms in zip(pdf["start_seconds"], pdf["terms"]):
-            mine = set(terms) if terms is not None else set()
-            gone = any(abs(start - s) <= seconds or (abs(start - s) <= far and len(mine & t) / max(1, len(mine | t)) >= similar) for s, t in accepted)
-            if not gone:
-                accepted.append((start, mine))
-            mask.append(not gone)
-        return pdf[mask].drop(columns="terms")
-
-    return hits.groupBy("query_id", "video_id").applyInPandas(keep, hits.drop("terms").schema)
+    columns = [c for c in hits.columns if c not in ("query_id", "video_id")]
+    first = ["final_rank", id]  # the order in which hits are judged
+    listed = F.array_sort(F.collect_list(F.struct(*first, *[c for c in columns if c not in first])))
+    gap = lambda a, x: F.abs(a["start_seconds"] - x["start_seconds"])
+    words = lambda x: F.coalesce(x["terms"], F.array().cast("array<string>"))
+    alike = lambda a, x: F.size(F.array_intersect(words(a), words(x))) / F.greatest(F.size(F.array_union(words(a), words(x))), F.lit(1)) >= similar
+    falls = lambda kept, x: F.exists(kept, lambda a: (gap(a, x) <= seconds) | ((gap(a, x) <= far) & alike(a, x)))
+    groups = hits.groupBy("query_id", "video_id").agg(listed.alias("all"))
+    kept = F.aggregate("all", F.slice("all", 1, 0), lambda acc, x: F.when(falls(acc, x), acc).otherwise(F.concat(acc, F.array(x))))
+    return groups.select("query_id", "video_id", F.inline(kept)).select(*[c for c in hits.columns if c != "terms"])
