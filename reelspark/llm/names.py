@@ -56,6 +56,10 @@ _EXPAND = {short.strip(): tuple(full.split()) for short, _, full in (e.partition
 # --- names into words -----------------------------------------------------------------------------------------------
 
 
+#: Longer names are rewritten in their word order and case only: they are sentences, not names.
+_MANY_WORDS = 24
+
+
 def fold(text: str) -> str:
     """Lower case without accents; the letter d with stroke as d."""
     text = unicodedata.normalize("NFKD", text.replace("Đ", "D").replace("đ", "d")).casefold()
@@ -90,9 +94,9 @@ def _lost(word: str) -> list[str]:
 
 
 def _given(words: tuple[str, ...]) -> list[tuple[str, ...]]:
-    """The words, with nicknames written out in each way they can be."""
+    """The words of a person's name, of four words at most, with nicknames written out in each way they can be."""
     ways = [_FULL_GIVEN.get(w, ()) or (w,) for w in words]
-    return list(itertools.islice(itertools.product(*ways), 8)) if any(len(w) > 1 or w[0] != x for w, x in zip(ways, words)) else [words]
+    return list(itertools.product(*ways)) if len(words) <= 4 else [words]
 
 
 @lru_cache(maxsize=100_000)
@@ -127,7 +131,7 @@ def rewritings(name: str) -> frozenset[int]:
                                 if k and len(core[i]) >= 5:
                                     forms.update(" ".join(sorted([*short[:i], less, *short[i + 1 :]])) for less in _lost(core[i])[1:])
             else:
-                for gone in (0, 1, 2):
+                for gone in (0, 1, 2) if len(core) <= _MANY_WORDS else (0,):
                     for left in itertools.combinations(core, len(core) - gone):
                         forms.add(" ".join(sorted(left)))
         if len(words) >= 3:
@@ -308,11 +312,10 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
     parsed = materialize(_words_of(names), "words")
     used = parsed.join(rows, "name").select("id", F.explode("words").alias("word")).distinct().groupBy("word").count().filter(F.col("count") >= common)
     known = parsed.select("name", F.explode("words").alias("word")).join(used, "word").groupBy("name").agg(F.collect_set("word").alias("known"))
-    # the equi-join on rewritings; a rewriting's rarity is its alias rows' share
+    # the equi-join on rewritings; a rewriting is the rarer, the fewer alias rows produce it
     alias_forms = _forms(alias_names)
     spread = alias_forms.join(rows, "name").groupBy("form").agg(F.countDistinct("id").alias("rows"))
-    total = rows.agg(F.countDistinct("id").alias("all"))
-    rare = spread.crossJoin(F.broadcast(total)).select("form", F.log(F.col("all") / F.col("rows") + 1).alias("rarity"))  # one row, a number
+    rare = spread.select("form", (-F.log("rows")).alias("rarity"))
     met = (
         _forms(names).withColumnRenamed("name", "a").join(alias_forms.withColumnRenamed("name", "b"), "form").join(rare, "form")
         .groupBy("a", "b").agg(F.max("rarity").alias("rarity"))

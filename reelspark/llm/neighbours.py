@@ -96,7 +96,8 @@ def similar_vectors(
     restricts the asking rows, not the rows asked. Recall grows with tables and probes; see the README for measurements.
 
     The number of buckets follows each group's number of rows. A bucket with more than ``full_bucket`` rows is split by a
-    further axis, so that no task holds an unbounded bucket. Rows with exactly the same direction are hashed once: one of
+    further axis, and one that is still too full into squares that together compare all its pairs, so that no task holds
+    an unbounded bucket. Rows with exactly the same direction are hashed once: one of
     them asks, and its copies, being at cosine 1 to each other, come before all others in the order of their ids.
 
     Ties in cosine are broken by the smaller id. ``vector`` must hold usable vectors of one length for each group (see
@@ -162,7 +163,10 @@ def similar_vectors(
         size = F.pow(2.0, F.ceil(F.log2(F.greatest(F.length("u"), F.lit(2)))) + 1).cast("bigint")
         split = hashable.mapInArrow(hashed(1, False), layout).withColumn("outer", F.floor(F.col("code") / size).cast("bigint"))
         split = split.join(full.withColumnRenamed("code", "outer"), ["g", "table", "outer"], "left_semi")
-        tasks = tasks.join(full, key, "left_anti").unionByName(split.drop("outer").withColumn("level", F.lit(1)))
+        split = split.drop("outer").withColumn("level", F.lit(1))
+        tasks = tasks.join(full, key, "left_anti").withColumn("chunk", F.lit(0)).unionByName(_in_chunks(split, key, full_bucket))
+    else:
+        tasks = tasks.withColumn("chunk", F.lit(0))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["id"].to_numpy()
@@ -184,13 +188,31 @@ def similar_vectors(
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         return pd.DataFrame({"g": np.full(len(a), pdf["g"].iloc[0], np.int64), "id_a": a, "id_b": b})
 
-    met = tasks.groupBy("g", "table", "level", "code").applyInPandas(compare, f"g bigint, id_a {kind}, id_b {kind}").distinct()
+    met = tasks.groupBy("g", "table", "level", "code", "chunk").applyInPandas(compare, f"g bigint, id_a {kind}, id_b {kind}").distinct()
     # few and narrow rows that several branches read: written once, or every branch would compare the buckets again
     met = materialize(met, "met")
     met = materialize(_exact_cosine(met, rows).filter(F.col("cosine") >= min_cosine), "cosines")
     return _with_copies(met, members, rows.select("g", "id", "asks"), k).select("id_a", "id_b", "cosine", "place")
 
 
+def _in_chunks(split: DataFrame, key: list[str], full_bucket: int) -> DataFrame:
+    """``split`` with ``chunk``: buckets that are still too full are cut into squares of home rows against asking rows.
+
+    A home row goes to the squares of its column, an asking row to those of its line, so that every pair of the bucket
+    meets in one square and no task holds more than about two times ``full_bucket`` rows.
+    """
+    sizes = split.filter("home").groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / full_bucket).cast("int").alias("side")).filter("side > 1")
+    dense = materialize(sizes, "dense")
+    easy = split.join(dense, key, "left_anti").withColumn("chunk", F.lit(0))
+    if dense.isEmpty():
+        return easy
+    hard = split.join(dense, key).withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), F.col("side")).cast("int"))
+    across = F.explode(F.sequence(F.lit(0), F.col("side") - 1))
+    homes = hard.filter("home").withColumn("other", across).withColumn("chunk", F.col("own") * F.col("side") + F.col("other")).withColumn("asks", F.lit(False))
+    asking = hard.filter("asks").withColumn("other", across).withColumn("chunk", F.col("other") * F.col("side") + F.col("own")).withColumn("home", F.lit(False))
+    return easy.unionByName(homes.unionByName(asking).select(*easy.columns))
+
+
 def _exact_cosine(met: DataFrame, rows: DataFrame) -> DataFrame:
     """``met`` with the cosine of the original vectors in double precision, rounded to nine decimals.
 

@@ -13,6 +13,10 @@ from reelspark.llm.tokens import with_token_counts
 from reelspark.session import materialize
 
 
+#: A partition holds several shards, one after another, where there are more than twice as many.
+MOST_PARTITIONS = 20_000
+
+
 def differencing(sizes: np.ndarray, ways: int) -> np.ndarray:
     """The subset (0 .. ways-1) of each size by largest differencing over ``ways`` subsets.
 
@@ -98,7 +102,7 @@ def pack(
         return pd.DataFrame({"id": pdf["id"], "piece_no": pdf["piece_no"], "piece_start": pdf["piece_no"] * capacity, "piece_size": pdf["piece_size"], "container_id": name})
 
     # the rows are few bytes but much work: an explicit number of partitions keeps the shards apart
-    packed = rest.repartition(max(1, shards // 2), "shard").groupBy("shard").applyInPandas(shard_fill, f"id {kind}, piece_no bigint, piece_start bigint, piece_size bigint, container_id string")
+    packed = rest.repartition(min(max(1, shards // 2), MOST_PARTITIONS), "shard").groupBy("shard").applyInPandas(shard_fill, f"id {kind}, piece_no bigint, piece_start bigint, piece_size bigint, container_id string")
     return packed.unionByName(whole).withColumnRenamed("id", id)
 
 

@@ -142,6 +142,18 @@ def test_similar_vectors_recall(spark, full_bucket):
     assert all(sorted(v)[i][0] == i + 1 for v in found.values() for i in range(len(v)))
 
 
+def test_one_dense_bucket_is_compared_in_full(spark):
+    rng = np.random.default_rng(6)
+    data = [(k, "g", [float(np.float32(x)) for x in np.ones(16) + 1e-3 * rng.normal(size=16)]) for k in range(150)]
+    df = spark.createDataFrame(data, "id bigint, grp string, vec array<float>")
+    found = {}
+    for a, b, _, _ in rows(neighbours.similar_vectors(df, id="id", vector="vec", groups=["grp"], k=2, min_cosine=0.9, full_bucket=8)):
+        found.setdefault(a, set()).add(b)
+    expected = brute_neighbours(data, 2, 0.9)
+    same = sum(found[a] == {b for b, _ in v} for a, v in expected.items())
+    assert len(found) == 150 and same >= 147  # but for ties at nine decimals
+
+
 def test_similar_vectors_copies_and_edges(spark):
     data = [(k, "m", [1.0, 2.0, 0.0, 0.0]) for k in range(10)] + [(20, "m", [1.0, 2.0, 0.1, 0.0]), (21, "n", [1.0, 2.0, 0.0, 0.0])]
     df = spark.createDataFrame(data, "id bigint, grp string, vec array<float>")
