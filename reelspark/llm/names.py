@@ -51,6 +51,7 @@ def _table(text: str) -> dict[str, tuple[str, ...]]:
 
 
 _FULL_GIVEN = _table(_NICKNAMES)
+_NICKS_OF = {full.strip(): tuple(shorts.split()) for full, _, shorts in (e.partition(":") for e in _NICKNAMES.replace("\n", " ").split(";"))}
 _EXPAND = {short.strip(): tuple(full.split()) for short, _, full in (e.partition(":") for e in _SHORT.replace("\n", " ").split(";"))}
 
 # --- names into words -----------------------------------------------------------------------------------------------
@@ -93,15 +94,16 @@ def _lost(word: str) -> list[str]:
     return [word] if len(word) < 3 else [word, *{word[:i] + word[i + 1 :] for i in range(len(word))}]
 
 
-def _given(words: tuple[str, ...]) -> list[tuple[str, ...]]:
-    """The words of a person's name, of four words at most, with nicknames written out in each way they can be."""
-    ways = [_FULL_GIVEN.get(w, ()) or (w,) for w in words]
+def _given(words: tuple[str, ...], listed: bool) -> list[tuple[str, ...]]:
+    """The words of a person's name, of four words at most, with nicknames written out in each way they can be; for a
+    listed name also each given name as its nicknames, which may have been typed with an error."""
+    ways = [(*(_FULL_GIVEN.get(w, ()) or (w,)), *(_NICKS_OF.get(w, ()) if listed else ())) for w in words]
     return list(itertools.product(*ways)) if len(words) <= 4 else [words]
 
 
 @lru_cache(maxsize=100_000)
-def rewritings(name: str) -> frozenset[int]:
-    """Hashes of every canonical rewriting of a name."""
+def rewritings(name: str, listed: bool = False) -> frozenset[int]:
+    """Hashes of every canonical rewriting of a name; of a ``listed`` one, an alias row's, those of its nicknames too."""
     words, acronym = parse(name)
     forms: set[str] = set()
     if acronym:
@@ -114,7 +116,7 @@ def rewritings(name: str) -> frozenset[int]:
             forms.update("=" + w for w in _lost(solid))
     if len(words) <= 2 and 6 <= len(joined) <= 14:  # one invented word takes two errors
         forms.update("=" + b for a in _lost(joined) for b in _lost(a))
-    for way in {*_given(words), words}:
+    for way in {*_given(words, listed), words}:
         strong = tuple(w for w in way if len(w) > 1)
         for core in {way, strong} if len(strong) >= 2 else {way}:
             if len(core) <= 3:
@@ -184,6 +186,8 @@ def _word_cost(a: str, b: str, known: frozenset[str]) -> float:
     # a nickname or a given name with an error in it
     if any(_distance(x, y, 1) <= 1 for x in _FULL_GIVEN.get(a, (a,)) for y in _FULL_GIVEN.get(b, (b,))) and (a in _FULL_GIVEN or b in _FULL_GIVEN):
         return 1.2
+    if any(len(nick) > 3 and _distance(x, nick, 1) <= 1 for x, y in ((a, b), (b, a)) for nick in _NICKS_OF.get(y, ())):
+        return 1.2
     return _FAR
 
 
@@ -228,13 +232,13 @@ def name_cost(a: str, b: str, known: frozenset[str]) -> float:
 
 # --- linking ----------------------------------------------------------------------------------------------------------
 
-def _forms(names: DataFrame) -> DataFrame:
+def _forms(names: DataFrame, listed: bool = False) -> DataFrame:
     """``name, form`` for every rewriting of each distinct name."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, forms = [], []
             for name in batch.column(0).to_pylist():
-                for form in rewritings(name):
+                for form in rewritings(name, listed):
                     keys.append(name)
                     forms.append(form)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(forms, pa.int64())], names=["name", "form"])
@@ -297,7 +301,7 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
     mention goes to the entity with the least cost, at most ``most``; where another entity comes within ``apart`` of it
     the name may be either's, and it goes to the one whose shared rewritings are rarer, or that is mentioned ``leading``
     times as often by names that can only be its own, and to none if neither decides. Names with mere initials and
-    acronyms do not make two rows one entity.
+    acronyms do not make two rows one entity; a row that has no other names joins the one entity that it fits, if it is one.
     Words that ``common`` rows or more use are held to be different words however alike.
 
     Names are compared once for each distinct spelling, so a name that makes up a third of all mentions costs no more
@@ -313,7 +317,7 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
     used = parsed.join(rows, "name").select("id", F.explode("words").alias("word")).distinct().groupBy("word").count().filter(F.col("count") >= common)
     known = parsed.select("name", F.explode("words").alias("word")).join(used, "word").groupBy("name").agg(F.collect_set("word").alias("known"))
     # the equi-join on rewritings; a rewriting is the rarer, the fewer alias rows produce it
-    alias_forms = _forms(alias_names)
+    alias_forms = _forms(alias_names, listed=True)
     spread = alias_forms.join(rows, "name").groupBy("form").agg(F.countDistinct("id").alias("rows"))
     rare = spread.select("form", (-F.log("rows")).alias("rarity"))
     met = (
@@ -332,6 +336,16 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
     edges = near.filter(F.col("cost") <= same_row).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
     entity = components(rows.select(F.col("id").alias("node")).distinct(), edges).select(F.col("node").alias("id"), F.col("root").alias("entity"))
 
+    # rows of initials or an acronym only: to the one entity that they can be short for, if there is just one
+    full_rows = telling.select("id").distinct()
+    short = rows.join(full_rows, "id", "left_anti").select(F.col("name").alias("a"), F.col("id").alias("short"))
+    full = rows.join(full_rows, "id", "left_semi").withColumnRenamed("name", "b").join(entity, "id").select("b", F.col("entity").alias("of"))
+    fits = costs.join(short, "a").join(full, "b").groupBy("short", "of").agg(F.min("cost").alias("cost"))
+    nearest = Window.partitionBy("short").orderBy("cost", "of")
+    fits = fits.withColumn("n", F.row_number().over(nearest)).withColumn("second", F.lead("cost").over(nearest))
+    fits = fits.filter((F.col("n") == 1) & (F.col("second").isNull() | (F.col("second") - F.col("cost") >= apart))).select(F.col("short").alias("id"), "of")
+    entity = materialize(entity.join(fits, "id", "left").select("id", F.coalesce("of", "entity").alias("entity")), "entities")
+
     # each mentioned spelling to one entity
     to = costs.join(rows.withColumnRenamed("name", "b"), "b").join(entity, "id").groupBy("a", "entity").agg(F.min("cost").alias("cost"), F.max("rarity").alias("rarity"))
     by = Window.partitionBy("a").orderBy("cost", F.desc("rarity"), "entity")
