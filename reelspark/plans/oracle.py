@@ -44,6 +44,12 @@ def _norm_key(e: str) -> str:
     return f"regexp_replace(lower(translate({e}, {_lit(_WIDE)}, {_lit(_PLAIN)})), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
 
 
+def _clean(e: str) -> str:
+    """Without HTML entities, which DuckDB cannot resolve and the test tables do not have."""
+    blank = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+    return f"trim(regexp_replace(nfc_normalize(regexp_replace(replace({e}, chr(65279), ' '), '<[^>]+>', ' ', 'g')), '{blank}', ' ', 'g'))"
+
+
 _DOCS = "docs as (select * from documents where document_id is not null qualify row_number() over (partition by document_id order by generated_at desc nulls last, doc_id desc) = 1)"
 _SEARCHES = "searches(query_id, query) as (values " + ", ".join(f"({_lit(a)}, {_lit(b)})" for a, b in SEARCHES) + ")"
 _TF = f"tf as (select document_id, term, count(*) as tf from (select document_id, unnest({_terms('combined_text')}) as term from docs) group by all)"
@@ -182,6 +188,15 @@ and s.start_seconds + o.scene_local_time_seconds between c.start_seconds and c.e
     "keyframe_table": _with(_LINES, _REPEATED) + """, per as (select ocr_id, count(*) filter (r.key is null) as n_lines, count(*) filter (r.key is not null) as n_removed from lines l left join repeated r using (video_id, key) group by 1)
 select o.ocr_id, row_number() over (partition by o.video_id, o.scene_id order by keyframe_path nulls first, o.ocr_id) - 1 as keyframe_no, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed
 from ocr_records o join scenes s using (video_id, scene_id) left join per using (ocr_id)""",
+    "clean_texts": f"select cue_id, {_clean('text')} as clean from subtitle_cues",
+    "preferred_subtitles": f"""with c0 as (select cue_id, video_id, start_seconds as s, greatest(end_seconds, start_seconds) as e, {_clean('text')} as text, coalesce(language, 'unknown') as language
+  from subtitle_cues where video_id is not null and start_seconds is not null),
+c as (select *, {_norm_key('text')} as key from c0 where length(text) > 0),
+once as (select c.*, sc.scene_id from c join scenes sc on c.video_id = sc.video_id and c.e > sc.start_seconds and c.s < sc.end_seconds
+  qualify row_number() over (partition by c.video_id, sc.scene_id, c.language, c.s, c.e, c.key order by c.cue_id) = 1),
+chosen as (select *, first_value(language) over (partition by video_id, scene_id order by case language when 'vi' then 1 when 'en' then 2 when 'vi-orig' then 3 else 4 end, language) as ch from once),
+r as (select * from chosen where language = ch and length(key) > 0 qualify row_number() over (partition by video_id, scene_id, key order by s, e, cue_id) = 1)
+select video_id, scene_id, any_value(ch) as subtitle_language, string_agg(text, ' ' order by s, e, cue_id) as subtitle_text from r group by 1, 2""",
     "manifest_summary": _with(_DOCS) + """select count(distinct video_id) as videos, count(*) as documents, count(*) filter (length(subtitle_text) > 0) as with_subtitles, count(*) filter (length(ocr_text) > 0) as with_ocr,
 count(*) filter (length(combined_text) > 0) as searchable, 0.5 as min_confidence from docs""",
     "search_keys": f"select cue_id, {_key('text')} as search_key, {_norm_key('nfc_normalize(text)')} as normalized_key from subtitle_cues where text is not null",
