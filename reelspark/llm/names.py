@@ -101,24 +101,48 @@ def _given(words: tuple[str, ...], listed: bool) -> list[tuple[str, ...]]:
     return list(itertools.product(*ways)) if len(words) <= 4 else [words]
 
 
+def _hash(form: str) -> int:
+    return xxhash.xxh64_intdigest(form) - (1 << 63)
+
+
+#: Words that one spelling may have and another lack; :func:`name_cost` asks little for them.
+_DROPPED = _LEGAL | _OPTIONAL
+
+
+def _without(core: tuple[str, ...]) -> set[tuple[str, ...]]:
+    """The forms of up to three words that are left of a name when words of _DROPPED are left out, each with and without
+    the others; nothing where more than three other words remain, or no word but letters."""
+    own = [i for i, w in enumerate(core) if w not in _DROPPED]
+    may = [i for i, w in enumerate(core) if w in _DROPPED]
+    out: set[tuple[str, ...]] = set()
+    if len(core) <= _MANY_WORDS and len(own) <= 3:
+        for n in range(min(len(may) - 1, 3 - len(own)) + 1):
+            for kept in itertools.combinations(may, n):
+                out.add(tuple(core[i] for i in sorted([*own, *kept])))
+    return {c for c in out if any(len(w) > 1 for w in c)}
+
+
 @lru_cache(maxsize=100_000)
 def rewritings(name: str, listed: bool = False) -> frozenset[int]:
     """Hashes of every canonical rewriting of a name; of a ``listed`` one, an alias row's, those of its nicknames too."""
     words, acronym = parse(name)
     forms: set[str] = set()
+    hashes: set[int] = set()
     if acronym:
         forms.add("@" + acronym)
     if not words:
         return frozenset()
     joined = "".join(words)
     for solid in {joined, "".join(sorted(words))}:  # for names written as one word
-        if len(solid) <= 24:
-            forms.update("=" + w for w in _lost(solid))
+        forms.add("=" + solid)
+        if len(solid) >= 3:  # hashed one by one: of a long text they would take the square of its length
+            hashes.update(_hash("=" + solid[:i] + solid[i + 1 :]) for i in range(len(solid)))
     if len(words) <= 2 and 6 <= len(joined) <= 14:  # one invented word takes two errors
         forms.update("=" + b for a in _lost(joined) for b in _lost(a))
     for way in {*_given(words, listed), words}:
         strong = tuple(w for w in way if len(w) > 1)
-        for core in {way, strong} if len(strong) >= 2 else {way}:
+        cores = {way, strong} if len(strong) >= 2 else {way}
+        for core in cores.union(*map(_without, cores)):
             if len(core) <= 3:
                 options = [_lost(w) for w in core]
                 for choice in itertools.product(*options):
@@ -139,7 +163,7 @@ def rewritings(name: str, listed: bool = False) -> frozenset[int]:
         if len(words) >= 3:
             first = "".join(w[0] for w in words)
             forms.update({"@" + first, "@" + "".join(w[0] for w in words if w not in _LEGAL)} if not acronym else ())
-    return frozenset(xxhash.xxh64_intdigest(f) - (1 << 63) for f in forms)
+    return frozenset(hashes.union(map(_hash, forms)))
 
 
 # --- comparing two names --------------------------------------------------------------------------------------------

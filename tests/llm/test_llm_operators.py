@@ -383,6 +383,20 @@ def test_name_costs():
     assert names.name_cost("", "x", none) > 2.3 and names.rewritings("") == frozenset()
 
 
+def test_short_names_lose_words():
+    """Every pair that name_cost accepts for a dropped word or a joined spelling shares a rewriting."""
+    listed = "Silverfen Broadcasting Corporation"
+    for typed in ("Silverfen Broadcasting", "SilverfenBroadcasting", "Broadcasting, Silverfen", "Silverfn Broadcasting", "The Silverfen Broadcastng"):
+        assert names.name_cost(typed, listed, frozenset()) <= 2.3
+        assert names.rewritings(typed) & names.rewritings(listed, True), typed
+    # a lost letter beside a lost word where the listed name has four words
+    assert names.rewritings("Silverfn Data Systems") & names.rewritings("Silverfen Data Systems Corporation", True)
+    # more than 24 letters in one word
+    assert names.rewritings("silverfenbroadcastingcorporatin") & names.rewritings(listed, True)
+    # two legal forms are two entities, although they meet
+    assert names.name_cost("Silverfen Corporation", "Silverfen Foundation", frozenset()) > 2.3
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 30)] + [(50, 51)]
     nodes = [(k,) for k in [*range(1, 31), 50, 51, 99]]
