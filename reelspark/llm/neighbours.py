@@ -71,17 +71,16 @@ class CrossPolytope:
     def __init__(self, dim: int, tables: int, last: int, seed: int) -> None:
         self.size = 1 << max(1, (dim - 1).bit_length())
         rng = np.random.default_rng([seed, dim])
+        # the third rotation isn't used; it is drawn so that the others stay those of the README's measurements
         self.signs = rng.choice(np.array([-1, 1], dtype=np.float32), size=(tables, 3, 3, self.size))
         self.tables, self.last = tables, min(last, self.size)
 
-    def codes(self, unit: np.ndarray, table: int, probes: int, level: int) -> np.ndarray:
-        """The first ``probes`` buckets of each row in a table; level 1 adds a further axis, for buckets that are too full."""
-        first, second, third = (self.signs[table, k] for k in range(3))
+    def codes(self, unit: np.ndarray, table: int, probes: int) -> np.ndarray:
+        """The first ``probes`` buckets of each row in a table."""
+        first, second = self.signs[table, 0], self.signs[table, 1]
         code = _axes(_rotate(unit, first), probes)
         if self.last:
             code = code * (2 * self.last) + _axes(_rotate(unit, second)[:, : self.last], 1)
-        if level:
-            code = code * (2 * self.size) + _axes(_rotate(unit, third), 1)
         return code
 
 
@@ -95,9 +94,9 @@ def similar_vectors(
     of each of ``tables`` tables and asks in ``probes`` buckets of it; the rows met there are compared exactly. ``query``
     restricts the asking rows, not the rows asked. Recall grows with tables and probes; see the README for measurements.
 
-    The number of buckets follows each group's number of rows. A bucket with more than ``full_bucket`` rows is split by a
-    further axis, and one that is still too full into squares that together compare all its pairs, so that no task holds
-    an unbounded bucket. Rows with exactly the same direction are hashed once: one of
+    The number of buckets follows each group's number of rows. A bucket with more than ``full_bucket`` rows is cut into
+    squares that together compare all its pairs, so that no task holds an unbounded bucket and no pair is lost; the work
+    in such a bucket grows with the square of its rows. Rows with exactly the same direction are hashed once: one of
     them asks, and its copies, being at cosine 1 to each other, come before all others in the order of their ids.
 
     Ties in cosine are broken by the smaller id. ``vector`` must hold usable vectors of one length for each group (see
@@ -127,7 +126,7 @@ def similar_vectors(
     sizes = materialize(sizes.select("g", last.alias("last")), "groups")
     hashable = rows.join(F.broadcast(sizes) if sizes.count() <= FEW_GROUPS else sizes, "g")
 
-    def hashed(level: int, homes_only: bool):
+    def hashed(homes_only: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             made: dict[tuple[int, int], CrossPolytope] = {}
             for batch in batches:
@@ -139,7 +138,7 @@ def similar_vectors(
                         made[dim, last_] = CrossPolytope(dim, tables, last_, seed)
                     hash_, unit = made[dim, last_], _unit(list(part["v"]), dim)
                     for table in range(tables):
-                        codes = hash_.codes(unit, table, 1 if homes_only else probes, level)
+                        codes = hash_.codes(unit, table, 1 if homes_only else probes)
                         for probe in range(codes.shape[1]):
                             keep = np.ones(len(part), bool) if probe == 0 else part["asks"].to_numpy(bool)
                             if not keep.any():
@@ -155,18 +154,11 @@ def similar_vectors(
 
     key = ["g", "table", "code"]
     layout = f"g bigint, table int, code bigint, id {kind}, home boolean, asks boolean, u binary"
-    tasks = hashable.mapInArrow(hashed(0, False), layout).withColumn("level", F.lit(0))
-    counted = hashable.mapInArrow(hashed(0, True), "g bigint, table int, code bigint").groupBy(*key).count()
-    full = materialize(counted.filter(F.col("count") > full_bucket).select(*key), "full")
-    if not full.isEmpty():
-        # a full bucket's rows go to the buckets of one more axis; the level keeps the two kinds of code apart
-        size = F.pow(2.0, F.ceil(F.log2(F.greatest(F.length("u"), F.lit(2)))) + 1).cast("bigint")
-        split = hashable.mapInArrow(hashed(1, False), layout).withColumn("outer", F.floor(F.col("code") / size).cast("bigint"))
-        split = split.join(full.withColumnRenamed("code", "outer"), ["g", "table", "outer"], "left_semi")
-        split = split.drop("outer").withColumn("level", F.lit(1))
-        tasks = tasks.join(full, key, "left_anti").withColumn("chunk", F.lit(0)).unionByName(_in_chunks(split, key, full_bucket))
-    else:
-        tasks = tasks.withColumn("chunk", F.lit(0))
+    tasks = hashable.mapInArrow(hashed(False), layout)
+    counted = hashable.mapInArrow(hashed(True), "g bigint, table int, code bigint").groupBy(*key).count()
+    full = counted.filter(F.col("count") > full_bucket).select(*key, F.ceil(F.col("count") / full_bucket).cast("int").alias("side"))
+    full = materialize(full, "full")
+    tasks = tasks.withColumn("chunk", F.lit(0)) if full.isEmpty() else _in_chunks(tasks, full, key)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["id"].to_numpy()
@@ -188,29 +180,27 @@ def similar_vectors(
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         return pd.DataFrame({"g": np.full(len(a), pdf["g"].iloc[0], np.int64), "id_a": a, "id_b": b})
 
-    met = tasks.groupBy("g", "table", "level", "code", "chunk").applyInPandas(compare, f"g bigint, id_a {kind}, id_b {kind}").distinct()
+    met = tasks.groupBy("g", "table", "code", "chunk").applyInPandas(compare, f"g bigint, id_a {kind}, id_b {kind}").distinct()
     # few and narrow rows that several branches read: written once, or every branch would compare the buckets again
     met = materialize(met, "met")
     met = materialize(_exact_cosine(met, rows).filter(F.col("cosine") >= min_cosine), "cosines")
     return _with_copies(met, members, rows.select("g", "id", "asks"), k).select("id_a", "id_b", "cosine", "place")
 
 
-def _in_chunks(split: DataFrame, key: list[str], full_bucket: int) -> DataFrame:
-    """``split`` with ``chunk``: buckets that are still too full are cut into squares of home rows against asking rows.
+def _in_chunks(tasks: DataFrame, full: DataFrame, key: list[str]) -> DataFrame:
+    """``tasks`` with ``chunk``: the buckets in ``full`` are cut into ``side`` x ``side`` squares of home rows against asking rows.
 
     A home row goes to the squares of its column, an asking row to those of its line, so that every pair of the bucket
-    meets in one square and no task holds more than about two times ``full_bucket`` rows.
+    meets in one square, which holds a ``side``-th of the bucket's home rows and of its asking rows.
     """
-    sizes = split.filter("home").groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / full_bucket).cast("int").alias("side")).filter("side > 1")
-    dense = materialize(sizes, "dense")
-    easy = split.join(dense, key, "left_anti").withColumn("chunk", F.lit(0))
-    if dense.isEmpty():
-        return easy
-    hard = split.join(dense, key).withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), F.col("side")).cast("int"))
-    across = F.explode(F.sequence(F.lit(0), F.col("side") - 1))
-    homes = hard.filter("home").withColumn("other", across).withColumn("chunk", F.col("own") * F.col("side") + F.col("other")).withColumn("asks", F.lit(False))
-    asking = hard.filter("asks").withColumn("other", across).withColumn("chunk", F.col("other") * F.col("side") + F.col("own")).withColumn("home", F.lit(False))
-    return easy.unionByName(homes.unionByName(asking).select(*easy.columns))
+    own, across = F.pmod(F.xxhash64("id", F.lit(3)), F.col("side")).cast("int"), F.sequence(F.lit(0), F.col("side") - 1)
+    place = lambda chunk, home, asks: F.struct(chunk.cast("int").alias("chunk"), home.alias("home"), asks.alias("asks"))
+    none = F.array().cast("array<struct<chunk:int,home:boolean,asks:boolean>>")
+    column = F.when(F.col("home"), F.transform(across, lambda j: place(own * F.col("side") + j, F.lit(True), F.lit(False)))).otherwise(none)
+    line = F.when(F.col("asks"), F.transform(across, lambda j: place(j * F.col("side") + own, F.lit(False), F.lit(True)))).otherwise(none)
+    places = F.when(F.col("side").isNull(), F.array(place(F.lit(0), F.col("home"), F.col("asks")))).otherwise(F.concat(column, line))
+    others = [c for c in tasks.columns if c not in ("home", "asks")]
+    return tasks.join(full, key, "left").select(*others, F.explode(places).alias("at")).select(*others, "at.home", "at.asks", "at.chunk")
 
 
 def _exact_cosine(met: DataFrame, rows: DataFrame) -> DataFrame:

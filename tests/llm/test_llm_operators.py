@@ -154,6 +154,27 @@ def test_one_dense_bucket_is_compared_in_full(spark):
     assert len(found) == 150 and same >= 147  # but for ties at nine decimals
 
 
+def test_dense_region_keeps_its_pairs(spark):
+    """More rows near one direction than a bucket may hold, with the parameters of p4_found."""
+    rng = np.random.default_rng(8)
+    centre, n, dim = np.eye(64)[0], 6000, 64
+    near = centre + 0.42 * (x := rng.normal(size=(n, dim))) / np.linalg.norm(x, axis=1, keepdims=True)
+    twin = near + 0.38 * (x := rng.normal(size=(n, dim))) / np.linalg.norm(x, axis=1, keepdims=True)
+    v = np.concatenate([near, twin]).astype(np.float32)
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    expected = set()
+    for at in range(0, len(u), 2000):
+        cos = u[at : at + 2000] @ u.T
+        cos[np.arange(len(cos)), at + np.arange(len(cos))] = -2
+        top = np.argpartition(-cos, 4, axis=1)[:, :5]
+        expected |= {(at + i, int(j)) for i in range(len(cos)) for j in top[i] if cos[i, j] >= 0.9}
+    expected = {(a, b) for a, b in expected if a < b and (b, a) in expected}
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, vec array<float>")
+    found = set(rows(neighbours.mutual(neighbours.similar_vectors(df, id="id", vector="vec", groups=[], k=5, min_cosine=0.9))))
+    assert len(expected) > 2000
+    assert len(found & expected) >= 0.99 * len(expected), len(found & expected) / len(expected)
+
+
 def test_similar_vectors_copies_and_edges(spark):
     data = [(k, "m", [1.0, 2.0, 0.0, 0.0]) for k in range(10)] + [(20, "m", [1.0, 2.0, 0.1, 0.0]), (21, "n", [1.0, 2.0, 0.0, 0.0])]
     df = spark.createDataFrame(data, "id bigint, grp string, vec array<float>")
