@@ -36,6 +36,16 @@ def searches(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SEARCHES, "query_id string, query string")
 
 
+def stated_searches(spark: SparkSession, sf: str) -> DataFrame:
+    """The stated query set: the text of every cue with an id divisible by 20; null and empty texts ask nothing."""
+    cues = table(spark, sf, "subtitle_cues").filter("cue_id % 20 = 0 and length(text) > 0")
+    return cues.select(F.concat(F.lit("c"), F.col("cue_id").cast("string")).alias("query_id"), F.col("text").alias("query"))
+
+
+def _asked(spark: SparkSession, asked: DataFrame | None) -> DataFrame:
+    return searches(spark) if asked is None else asked
+
+
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return L.latest_documents(table(spark, sf, "documents"))
 
@@ -61,10 +71,10 @@ def document_norms(spark: SparkSession, sf: str) -> DataFrame:
     return L.document_norms(tf, L.idf_stats(tf)).withColumn("vector_norm", F.round("vector_norm", 6))
 
 
-def tfidf_search(spark: SparkSession, sf: str) -> DataFrame:
+def tfidf_search(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
     tf = _terms(spark, sf)
     idf = L.idf_stats(tf)
-    out = L.tfidf_search(tf, idf, L.document_norms(tf, idf), searches(spark))
+    out = L.tfidf_search(tf, idf, L.document_norms(tf, idf), _asked(spark, asked))
     return out.select("query_id", "document_id", F.round("tfidf_score", 6).alias("tfidf_score"), "tfidf_rank")
 
 
@@ -76,22 +86,22 @@ def _entities(spark: SparkSession, sf: str) -> DataFrame:
     return E.canonicalize(E.listed_entities(_docs(spark, sf)), _aliases(spark, sf))
 
 
-def _alias_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return E.alias_hits(searches(spark), _aliases(spark, sf), "query", "query_id").select("query_id", "canonical_key").distinct()
+def _alias_keys(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
+    return E.alias_hits(_asked(spark, asked), _aliases(spark, sf), "query", "query_id").select("query_id", "canonical_key").distinct()
 
 
-def bm25_search(spark: SparkSession, sf: str) -> DataFrame:
-    hits = _entities(spark, sf).join(_alias_keys(spark, sf), "canonical_key").select("query_id", "document_id")
-    out = L.bm25_search(_docs(spark, sf), searches(spark), 20, hits)
+def bm25_search(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
+    hits = _entities(spark, sf).join(_alias_keys(spark, sf, asked), "canonical_key").select("query_id", "document_id")
+    out = L.bm25_search(_docs(spark, sf), _asked(spark, asked), 20, hits)
     return out.withColumn("bm25_score", F.round("bm25_score", 6))
 
 
-def bm25_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return L.bm25_scores(_docs(spark, sf), searches(spark)).withColumn("bm25_score", F.round("bm25_score", 6))
+def bm25_scores(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
+    return L.bm25_scores(_docs(spark, sf), _asked(spark, asked)).withColumn("bm25_score", F.round("bm25_score", 6))
 
 
-def fts_match(spark: SparkSession, sf: str) -> DataFrame:
-    return L.match_any(_docs(spark, sf), searches(spark))
+def fts_match(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
+    return L.match_any(_docs(spark, sf), _asked(spark, asked))
 
 
 def entity_email(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,12 +135,12 @@ def canonical_entities(spark: SparkSession, sf: str) -> DataFrame:
     return _entities(spark, sf).select("document_id", "canonical_key", "entity_type").distinct()
 
 
-def entity_search(spark: SparkSession, sf: str) -> DataFrame:
-    return E.entity_search(_entities(spark, sf), _docs(spark, sf), _alias_keys(spark, sf)).withColumn("entity_score", F.round("entity_score", 6))
+def entity_search(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
+    return E.entity_search(_entities(spark, sf), _docs(spark, sf), _alias_keys(spark, sf, asked)).withColumn("entity_score", F.round("entity_score", 6))
 
 
-def query_entity_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return E.query_entity_keys(searches(spark), _aliases(spark, sf))
+def query_entity_keys(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
+    return E.query_entity_keys(_asked(spark, asked), _aliases(spark, sf))
 
 
 def adaptive_plan(spark: SparkSession, sf: str) -> DataFrame:
@@ -406,20 +416,20 @@ def index_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return index.idf.withColumn("inverse_document_frequency", F.round("inverse_document_frequency", 9))
 
 
-def hybrid_search(spark: SparkSession, sf: str) -> DataFrame:
-    return flagship(spark, sf)
+def hybrid_search(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
+    return flagship(spark, sf, asked)
 
 
-def tfidf_mode_search(spark: SparkSession, sf: str) -> DataFrame:
+def tfidf_mode_search(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
     index = I.build(table(spark, sf, "documents"), table(spark, sf, "entity_aliases"))
-    return R.search(index, searches(spark), P.SearchSettings(mode="tfidf"))
+    return R.search(index, _asked(spark, asked), P.SearchSettings(mode="tfidf"))
 
 
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
+def flagship(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
     """Hybrid search: BM25, vector and entity lists fused, reranked by the stand-in, thinned out in time."""
     index = I.build(table(spark, sf, "documents"), table(spark, sf, "entity_aliases"))
     cache = table(spark, sf, "embeddings_cache").filter("provider = 'hashing'")
-    return R.search(index, searches(spark), P.SearchSettings(), cache, R.embed_queries(searches(spark), 64), U.overlap_reranker)
+    return R.search(index, _asked(spark, asked), P.SearchSettings(), cache, R.embed_queries(_asked(spark, asked), 64), U.overlap_reranker)
 
 
 _NAMES = """latest_documents term_frequency idf_stats document_norms tfidf_search bm25_scores bm25_search fts_match entity_email entity_acronym entity_rules document_entities
@@ -430,3 +440,13 @@ eval_report latency_percentiles validate_labels scene_segmentation sample_frames
 stage_timings index_remove_videos index_incremental hybrid_search tfidf_mode_search""".split()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: globals()[name] for name in _NAMES}
+
+#: The searches of ten strings (the SQL has these strings) again over the stated query set: tfidf_search_stated and so on.
+_STATED = "tfidf_search bm25_scores bm25_search fts_match entity_search query_entity_keys hybrid_search tfidf_mode_search".split()
+
+
+def _stated(search: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: search(spark, sf, stated_searches(spark, sf))
+
+
+QUERIES |= {f"{name}_stated": _stated(globals()[name]) for name in _STATED}

@@ -2,6 +2,7 @@
 
 import json
 import math
+import os
 import random
 import sqlite3
 
@@ -22,6 +23,7 @@ from reelspark.operators import lexical as L
 from reelspark.operators import planner as P
 from reelspark.operators import search as R
 from reelspark.operators import vectors as W
+from reelspark.plans import queries as Q
 from reelspark.sources import readers, sinks
 from reelspark.streaming import ingest
 
@@ -441,3 +443,22 @@ def test_stream_of_cues(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == clean_cues(cues).select("video_id", "language", "start_seconds", "end_seconds", "text").distinct().count()
     counted = ingest.cues_per_window(cues)
     assert sum(r["cues"] for r in counted.collect()) == cues.count()
+
+
+# --- the stated query set ---------------------------------------------------------------------------------------------
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_searches_answer_the_stated_set(spark):
+    """Every cue with an id divisible by 20 asks; its document set is what its own words say."""
+    sf = "/root/testdata/sf0.001"
+    asked = {f"c{r.cue_id}": r.text for r in spark.read.parquet(f"{sf}/subtitle_cues.parquet").filter("cue_id % 20 = 0 and length(text) > 0").collect()}
+    assert len(asked) > 10
+    docs = L.latest_documents(spark.read.parquet(f"{sf}/documents.parquet")).select("document_id", X.tokens(F.col("combined_text")).alias("t")).collect()
+    terms = {r.query_id: set(r.qt) for r in Q.stated_searches(spark, sf).select("query_id", X.query_terms(F.col("query")).alias("qt")).collect()}
+    assert set(terms) == set(asked)
+    expected = {(q, d.document_id) for q, qt in terms.items() for d in docs if qt & set(d.t or ())}
+    assert {tuple(r) for r in Q.QUERIES["fts_match_stated"](spark, sf).select("query_id", "document_id").collect()} == expected
+    best = Q.QUERIES["bm25_search_stated"](spark, sf).groupBy("query_id").count().collect()
+    assert {r.query_id for r in best} >= {q for q, _ in expected} and max(r["count"] for r in best) <= 20
+    assert {n for n in Q.QUERIES if n.endswith("_stated")} == {f"{n}_stated" for n in "tfidf_search bm25_scores bm25_search fts_match entity_search query_entity_keys hybrid_search tfidf_mode_search".split()}
