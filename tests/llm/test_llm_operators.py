@@ -253,6 +253,15 @@ def re_cyrillic(t):
     return any("а" <= c <= "я" for c in t)
 
 
+def test_single_byte_swap_beside_ascii_letters(spark):
+    """A word of a single-byte page is read as well where ASCII letters stand in it."""
+    good = ["школьный театр готовит телеканал", "канал снимает подвесной мост", "журнал читает канал"]
+    bad = ["TV-" + "канал".encode("cp1251").decode("cp1252"), "mp3:" + "журнал".encode("koi8_r").decode("cp1252")]
+    df = spark.createDataFrame([("s", k, t) for k, t in enumerate(good * 60)] + [("s", 1000 + k, t) for k, t in enumerate(bad)], "src string, rec_id bigint, text string")
+    out = {i: (r, lost) for _, i, _, r, lost in rows(mojibake.restore(df))}
+    assert out == {1000: ("TV-канал", False), 1001: ("mp3:журнал", False)}
+
+
 def test_nothing_garbled(spark):
     clean = [("s", k, t.upper() if k % 5 == 0 else t) for k, t in enumerate(CLEAN * 30)]
     df = spark.createDataFrame([("s", 1001, "SÃO BRISAL"), ("s", 1002, "l'été à Paris"), ("s", 1003, "«мост»"), ("s", 1004, "ВСЁ ЕЩЁ")] + clean, "src string, rec_id bigint, text string")
