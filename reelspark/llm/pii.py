@@ -107,7 +107,10 @@ _RE = [
     ("PHONE", re.compile(rf"(?<!\w)(?:{_SPOKEN})", re.I), lambda low: sum(map(_DIGITS.__contains__, low.replace(",", " ").replace("-", " ").split())) >= 6),
 ]
 _ONE = rf"[{_U}](?:\.|[\w'’]*)"  # a word, or an initial with its point
-_RUN = re.compile(rf"(?<![\w@.]){_ONE}(?:[- ]{_ONE}){{1,4}}(?![\w@])")
+_PARTICLE = r"(?:d[aeou]|das|dos|del|van|von|der|den)"
+_RUN = re.compile(rf"(?<![\w@.]){_ONE}(?:[- ](?:{_PARTICLE} ){{0,2}}{_ONE}){{1,4}}(?![\w@])")
+#: A single capitalised word behind a title; in a run the title is cut off.
+_TITLED = re.compile(rf"(?<![\w@.])(?i:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? (?P<name>[{_U}][\w'’]+)(?![\w@])")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _ODD = re.compile("[\u0300-\u036f\u200b-\u200f\u2060\ufeff\u00ad\uff00-\uffef\u00a0\u2000-\u200a\u202f\u205f\u3000]")
 
@@ -151,17 +154,21 @@ def spans(text: str) -> list[tuple[str, int, int, str, str, str]]:
             if free(a, b):
                 taken.append((a, b))
                 out.append((kind, place(a), place(b), "", "", ""))
-    for m in _RUN.finditer(plain):
-        a, b = m.span()
+    runs = [m.span() for m in _RUN.finditer(plain)]
+    inside = lambda a, b: any(x < b and a < y for x, y in runs)
+    single = {m.span("name") for m in _TITLED.finditer(plain) if not inside(*m.span("name"))}
+    for a, b in sorted([*runs, *single]):
         run = plain[a:b].rstrip(".") if not re.search(r"\b\w\.$", plain[a:b]) else plain[a:b]
         first = _WORD.match(run)
+        titled = (a, b) in single
         while first and first.group().lower() in TITLES and " " in run:
+            titled = True
             cut = len(run) - len(run[first.end():].lstrip(". "))
             a, run = a + cut, run[cut:]
             first = _WORD.match(run)
         words = _WORD.findall(run)
         b = a + len(run)
-        if len(words) < 2 or not free(a, b) or any(c.isdigit() for c in run):
+        if len(words) < 2 and not (titled and len(run) > 1) or not free(a, b) or any(c.isdigit() for c in run):
             continue
         line = plain.rfind("\n", 0, a) + 1
         before, after = plain[max(line, a - 60):a], plain[b:b + 60].split("\n")[0]

@@ -374,6 +374,14 @@ def test_pii_types_and_redaction(spark):
     assert rows(pii.find_pii(docs.limit(0), people.limit(0), id="doc_id", text="text")) == []
 
 
+def test_single_names_behind_titles_and_particles_are_candidates():
+    runs = lambda text: [run for kind, _, _, run, _, _ in pii.spans(text) if kind == "CANDIDATE"]
+    assert runs("Falei com João da Silva no porto.") == ["João da Silva"]
+    assert runs("Jan van der Berg said so") == ["Jan van der Berg"]
+    assert runs("Gặp ông Minh ở nhà") == ["Minh"] and runs("Mr. Lysterfjeld came by") == ["Lysterfjeld"]
+    assert runs("Mr A came by") == [] and runs("The house of Minh") == [] and runs("Dr. Rita Lopes") == ["Rita Lopes"]
+
+
 def test_pii_names_are_learnt_from_contexts(spark):
     docs = [(k, f"guest of honour {a} {b} took a bow") for k, (a, b) in enumerate([("Ines", "Quintal"), ("Tome", "Brisal"), ("Ana", "Salvador"), ("Rui", "Quintal")] * 5)]
     people = spark.createDataFrame([("Ines Quintal", "PERSON"), ("Tome Brisal", "PERSON"), ("Ana Salvador", "PERSON")], "text string, type string")
