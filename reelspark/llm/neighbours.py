@@ -76,11 +76,14 @@ class CrossPolytope:
         self.tables, self.last = tables, min(last, self.size)
 
     def codes(self, unit: np.ndarray, table: int, probes: int) -> np.ndarray:
-        """The first ``probes`` buckets of each row in a table."""
+        """The first ``probes`` buckets of each row in a table, its own first; with a second axis one more, of its runner-up."""
         first, second = self.signs[table, 0], self.signs[table, 1]
         code = _axes(_rotate(unit, first), probes)
         if self.last:
-            code = code * (2 * self.last) + _axes(_rotate(unit, second)[:, : self.last], 1)
+            last = _axes(_rotate(unit, second)[:, : self.last], 2 if probes > 1 else 1)
+            near = code * (2 * self.last)
+            # the second axis is probed as well, beside the nearest first one
+            code = np.concatenate([near + last[:, :1], near[:, :1] + last[:, 1:]], axis=1)
         return code
 
 
