@@ -278,6 +278,53 @@ def test_single_byte_swap_beside_ascii_letters(spark):
     assert out == {1000: ("TV-канал", False), 1001: ("mp3:журнал", False)}
 
 
+UNLISTED = [("utf-8", "cp1253"), ("utf-8", "cp1257"), ("utf-8", "iso8859-2"), ("cp1251", "cp1253"), ("cp1251", "cp1250"), ("cp866", "cp437"), ("iso8859-5", "cp1252"), ("cp1258", "cp1250")]
+
+
+@pytest.mark.parametrize("sources", ["one", "each"])
+def test_other_code_pages(spark, sources):
+    """Seventeen values and more of code pages that the tests above do not use, in one source and in one source each."""
+    good, bad = [("s", k, t) for k, t in enumerate(CLEAN * 60)], []
+    for was, read in UNLISTED:
+        page = [bytes([b]).decode(read, "replace").replace("�", chr(b)) for b in range(256)]
+        for t in CLEAN:
+            try:
+                g = "".join(page[b] for b in t.encode(was))
+            except UnicodeEncodeError:
+                continue
+            if g != t and (was in ("utf-8", "cp1258") or re_cyrillic(t)):
+                bad.append(("s" if sources == "one" else f"{was}>{read}", 1000 + len(bad), g, t))
+    assert len(bad) >= 17
+    df = spark.createDataFrame(good + [b[:3] for b in bad], "src string, rec_id bigint, text string")
+    out = {i: r for _, i, _, r, _ in rows(mojibake.restore(df))}
+    assert not [i for i in out if i < 1000]
+    assert sum(b[1] in out for b in bad) >= 0.9 * len(bad) and sum(out.get(b[1]) == b[3] for b in bad) >= 0.9 * len(bad)
+
+
+WORDS_VI = "bà con làng chài đo đạc kính viễn vọng đội bóng chủ nhà thảo luận về vườn ươm trường học thị trấn người bán cá mưa rào biển động thuyền gỗ nghệ nhân đèn lồng chương trình phát sóng".split()
+WORDS_RU = "школьный театр готовит судовой журнал дежурный врач снимает подвесной мост гончарная мастерская вспоминает деревянную лодку капитан парома показывает карту приливов рыбак читает".split()
+
+
+def test_invented_code_pages_are_learnt(spark):
+    """Tables that no library knows: bytes as arbitrary characters, and letters as other letters, each in its own source."""
+    rnd = random.Random(8)
+    odd = rnd.sample([chr(c) for c in [*range(0xA1, 0xAD), *range(0xAE, 0x100), *range(0x391, 0x3A2), *range(0x2500, 0x2580), *range(0x10D0, 0x10F0)]], 128)
+    letters = sorted({c for w in WORDS_RU for c in w})
+    swap = dict(zip(letters, rnd.sample([chr(c) for c in range(0x531, 0x557)], len(letters))))
+    line = lambda words: " ".join(rnd.choice(words) for _ in range(8))
+    good = [("s", k, line(WORDS_VI if k % 2 else WORDS_RU)) for k in range(1500)]
+    as_bytes = lambda t: "".join(c if ord(c) < 128 else "".join(odd[b - 128] for b in c.encode()) for c in t)
+    bad = [("bytes", 2000 + k, as_bytes(t), t) for k, t in enumerate(line(WORDS_VI) for _ in range(80))]
+    bad += [("letters", 3000 + k, "".join(swap.get(c, c) for c in t), t) for k, t in enumerate(line(WORDS_RU) for _ in range(80))]
+    df = spark.createDataFrame(good + [b[:3] for b in bad], "src string, rec_id bigint, text string")
+    for start in (True, False):
+        out = {i: r for _, i, _, r, _ in rows(mojibake.restore(df, start=start))}
+        assert not [i for i in out if i < 2000]
+        assert sum(b[1] in out for b in bad) >= 0.95 * len(bad)
+        words = [(a == b) for _, i, _, t in bad for a, b in zip(out.get(i, "").split(), t.split())]
+        assert sum(words) >= 0.9 * 8 * len(bad)
+
+
 def test_nothing_garbled(spark):
     clean = [("s", k, t.upper() if k % 5 == 0 else t) for k, t in enumerate(CLEAN * 30)]
     df = spark.createDataFrame([("s", 1001, "SÃO BRISAL"), ("s", 1002, "l'été à Paris"), ("s", 1003, "«мост»"), ("s", 1004, "ВСЁ ЕЩЁ")] + clean, "src string, rec_id bigint, text string")
