@@ -57,8 +57,10 @@ _EXPAND = {short.strip(): tuple(full.split()) for short, _, full in (e.partition
 # --- names into words -----------------------------------------------------------------------------------------------
 
 
-#: Longer names are rewritten in their word order and case only: they are sentences, not names.
+#: Of longer names the forms without two words would be too many: such names meet by parts of their words, see :func:`_parts`.
 _MANY_WORDS = 24
+#: Of longer words written as one the forms without two letters would be too many: they meet by halves, see :func:`_halves`.
+_MANY_LETTERS = 60
 
 
 def fold(text: str) -> str:
@@ -95,10 +97,31 @@ def _lost(word: str) -> list[str]:
 
 
 def _given(words: tuple[str, ...], listed: bool) -> list[tuple[str, ...]]:
-    """The words of a person's name, of four words at most, with nicknames written out in each way they can be; for a
-    listed name also each given name as its nicknames, which may have been typed with an error."""
+    """The words of a name with nicknames written out in each way they can be; for a listed name also each given name as
+    its nicknames, which may have been typed with an error. Names of more than four words take one such change at a time:
+    two further words may be lost on either side."""
     ways = [(*(_FULL_GIVEN.get(w, ()) or (w,)), *(_NICKS_OF.get(w, ()) if listed else ())) for w in words]
-    return list(itertools.product(*ways)) if len(words) <= 4 else [words]
+    if len(words) <= 4:
+        return list(itertools.product(*ways))
+    plain = tuple(w[0] for w in ways)
+    return [plain, *[(*words[:i], x, *words[i + 1 :]) for i, options in enumerate(ways) for x in options if x != words[i]]]
+
+
+def _parts(core: tuple[str, ...]) -> list[str]:
+    """The words of a long name in five parts by hash: two lost or altered words leave at least one part as it was."""
+    parts: list[list[str]] = [[], [], [], [], []]
+    for w in sorted(core):
+        parts[xxhash.xxh32_intdigest(w) % 5].append(w)
+    return [f"{i}:" + " ".join(p) for i, p in enumerate(parts) if p]
+
+
+def _halves(solid: str) -> set[str]:
+    """Forms of a long solid name by which two errors still leave one half with at most one of them."""
+    out = set()
+    for h in range(len(solid) // 2 - 1, len(solid) // 2 + 2):
+        out.update("<" + x for x in _lost(solid[:h]))
+        out.update(">" + x for x in _lost(solid[len(solid) - h :]))
+    return out
 
 
 def _hash(form: str) -> int:
@@ -115,7 +138,7 @@ def _without(core: tuple[str, ...]) -> set[tuple[str, ...]]:
     own = [i for i, w in enumerate(core) if w not in _DROPPED]
     may = [i for i, w in enumerate(core) if w in _DROPPED]
     out: set[tuple[str, ...]] = set()
-    if len(core) <= _MANY_WORDS and len(own) <= 3:
+    if len(own) <= 3:
         for n in range(min(len(may) - 1, 3 - len(own)) + 1):
             for kept in itertools.combinations(may, n):
                 out.add(tuple(core[i] for i in sorted([*own, *kept])))
@@ -137,8 +160,8 @@ def rewritings(name: str, listed: bool = False) -> frozenset[int]:
         forms.add("=" + solid)
         if len(solid) >= 3:  # hashed one by one: of a long text they would take the square of its length
             hashes.update(_hash("=" + solid[:i] + solid[i + 1 :]) for i in range(len(solid)))
-    if len(words) <= 2 and 6 <= len(joined) <= 14:  # one invented word takes two errors
-        forms.update("=" + b for a in _lost(joined) for b in _lost(a))
+    if len(words) <= 2 and len(joined) >= 6:  # one invented word takes two errors
+        forms.update(_halves(joined) if len(joined) > _MANY_LETTERS else ("=" + b for a in _lost(joined) for b in _lost(a)))
     for way in {*_given(words, listed), words}:
         strong = tuple(w for w in way if len(w) > 1)
         cores = {way, strong} if len(strong) >= 2 else {way}
@@ -154,12 +177,17 @@ def rewritings(name: str, listed: bool = False) -> frozenset[int]:
                             short = [w if k else w[0] for w, k in zip(core, keep)]
                             forms.add(" ".join(sorted(short)))
                             for i, k in enumerate(keep):
-                                if k and len(core[i]) >= 5:
+                                if k and len(core[i]) >= 3:
                                     forms.update(" ".join(sorted([*short[:i], less, *short[i + 1 :]])) for less in _lost(core[i])[1:])
-            else:
-                for gone in (0, 1, 2) if len(core) <= _MANY_WORDS else (0,):
+            elif len(core) <= _MANY_WORDS:
+                for gone in (0, 1, 2):
                     for left in itertools.combinations(core, len(core) - gone):
                         forms.add(" ".join(sorted(left)))
+                if len(core) == 4:  # errors in three of four words: one word in full beside the others' initials
+                    for whole in range(4):
+                        forms.add(" ".join(sorted(w if i == whole else w[0] for i, w in enumerate(core))))
+            else:
+                forms.update([" ".join(sorted(core)), *_parts(core)])
         if len(words) >= 3:
             first = "".join(w[0] for w in words)
             forms.update({"@" + first, "@" + "".join(w[0] for w in words if w not in _LEGAL)} if not acronym else ())
@@ -231,12 +259,13 @@ def name_cost(a: str, b: str, known: frozenset[str]) -> float:
     if len(wa) > len(wb):
         wa, wb = wb, wa
     pairs = sorted((c, i, j) for i, x in enumerate(wa) for j, y in enumerate(wb) if (c := _word_cost(x, y, known)) < _FAR)
-    used_a, used_b, cost = set(), set(), 0.0
+    used_a, used_b, chosen = set(), set(), []
     for c, i, j in pairs:
         if i not in used_a and j not in used_b:
             used_a.add(i)
             used_b.add(j)
-            cost += c
+            chosen.append(c)
+    cost = float(sum(chosen))
     full = sum(len(wa[i]) > 1 for i in used_a)
     letters = all(any(len(w) == 1 and k not in used for k, w in enumerate(ws)) for ws, used in ((wa, used_a), (wb, used_b)))
     rest = [w for k, w in enumerate(wa) if k not in used_a] + [w for k, w in enumerate(wb) if k not in used_b]
@@ -245,6 +274,9 @@ def name_cost(a: str, b: str, known: frozenset[str]) -> float:
         cost += (1.5 if both_legal else 0.4) if w in _LEGAL else 0.3 if w in _OPTIONAL or w in _TITLES else (3.0 if letters else 0.5) if len(w) == 1 else 3.0
     if not full:
         cost = _FAR
+    # four words and more that agree but for one letter each, and one of them in full
+    if 2.3 < cost < _FAR and len(wa) == len(wb) == len(chosen) >= 4 and max(chosen) <= 1.0 and min(chosen) == 0:
+        cost = 2.3
     ja, jb = "".join(wa), "".join(wb)
     if cost > 1 and min(len(ja), len(jb)) >= 6 and (len(wa) == 1 or len(wb) == 1 or len(wa) != len(wb)):
         for x in {ja, "".join(sorted(wa))}:
@@ -267,7 +299,9 @@ def _forms(names: DataFrame, listed: bool = False) -> DataFrame:
                     forms.append(form)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(forms, pa.int64())], names=["name", "form"])
 
-    return names.select("name").mapInArrow(run, "name string, form bigint")
+    # few short rows become many: as many parts as there are cores, whatever their size on disk
+    spread = names.select("name").repartition(names.sparkSession.sparkContext.defaultParallelism, F.xxhash64("name"))
+    return spread.mapInArrow(run, "name string, form bigint")
 
 
 def _costs(pairs: DataFrame) -> DataFrame:
@@ -278,7 +312,8 @@ def _costs(pairs: DataFrame) -> DataFrame:
             cost = [name_cost(x, y, frozenset(k or ())) for x, y, k in zip(a, b, known)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cost, pa.float64())], names=["a", "b", "cost"])
 
-    return pairs.select("a", "b", "known").mapInArrow(run, "a string, b string, cost double")
+    spread = pairs.select("a", "b", "known").repartition(pairs.sparkSession.sparkContext.defaultParallelism, F.xxhash64("a", "b"))
+    return spread.mapInArrow(run, "a string, b string, cost double")
 
 
 def strong(name: str) -> bool:
@@ -317,14 +352,15 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return now
 
 
-def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_row: float = 1.3, apart: float = 0.25, common: int = 3, leading: float = 4.0) -> DataFrame:
+def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_row: float = 1.3, apart: float = 0.25, common: int = 3, leading: float = 4.0, price: float = 2.3) -> DataFrame:
     """``entity, kind, id``: the records of each entity, rows (kind ``row``) and mentions' records (kind ``mention``).
 
     ``rows`` has ``id, name``, one line for each spelling of an alias row; ``mentions`` has ``id, name``. Rows are one
     entity if spellings of theirs cost at most ``same_row`` to turn into each other, directly or through other rows. A
-    mention goes to the entity with the least cost, at most ``most``; where another entity comes within ``apart`` of it
-    the name may be either's, and it goes to the one whose shared rewritings are rarer, or that is mentioned ``leading``
-    times as often by names that can only be its own, and to none if neither decides. Names with mere initials and
+    mention goes to the entity with the best score: the rarity of the rarest rewriting that they share, as the logarithm of
+    how few entities' rows produce it, less ``price`` for each unit of cost. A rewriting of its own bears a cost of ``most``,
+    a common one less. Where another entity comes within ``apart`` (in units of cost) the name may be either's, and it goes
+    to the one that is mentioned ``leading`` times as often by names that can only be its own, and to none if neither is. Names with mere initials and
     acronyms do not make two rows one entity; a row that has no other names joins the one entity that it fits, if it is one.
     Words that ``common`` rows or more use are held to be different words however alike.
 
@@ -341,17 +377,17 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
     used = parsed.join(rows, "name").select("id", F.explode("words").alias("word")).distinct().groupBy("word").count().filter(F.col("count") >= common)
     known = parsed.select("name", F.explode("words").alias("word")).join(used, "word").groupBy("name").agg(F.collect_set("word").alias("known"))
     # the equi-join on rewritings; a rewriting is the rarer, the fewer alias rows produce it
-    alias_forms = _forms(alias_names, listed=True)
+    alias_forms = materialize(_forms(alias_names, listed=True), "alias-forms")
     spread = alias_forms.join(rows, "name").groupBy("form").agg(F.countDistinct("id").alias("rows"))
     rare = spread.select("form", (-F.log("rows")).alias("rarity"))
     met = (
         _forms(names).withColumnRenamed("name", "a").join(alias_forms.withColumnRenamed("name", "b"), "form").join(rare, "form")
-        .groupBy("a", "b").agg(F.max("rarity").alias("rarity"))
+        .groupBy("a", "b").agg(F.max("rarity").alias("rarity"), F.max_by("form", F.struct("rarity", "form")).alias("form"))
     )
     k = known.withColumnRenamed("name", "b").withColumnRenamed("known", "kb")
-    met = met.join(known.withColumnRenamed("name", "a"), "a", "left").join(k, "b", "left").select("a", "b", "rarity", F.concat(F.coalesce("known", F.array().cast("array<string>")), F.coalesce("kb", F.array().cast("array<string>"))).alias("known"))
+    met = met.join(known.withColumnRenamed("name", "a"), "a", "left").join(k, "b", "left").select("a", "b", "form", F.concat(F.coalesce("known", F.array().cast("array<string>")), F.coalesce("kb", F.array().cast("array<string>"))).alias("known"))
     met = materialize(met, "met")
-    costs = materialize(_costs(met).filter(F.col("cost") <= most).join(met.select("a", "b", "rarity"), ["a", "b"]), "costs")
+    costs = materialize(_costs(met).filter(F.col("cost") <= most).join(met.select("a", "b", "form"), ["a", "b"]), "costs")
 
     # rows into entities
     telling = rows.join(parsed.filter("strong").select("name"), "name")
@@ -370,15 +406,20 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
     fits = fits.filter((F.col("n") == 1) & (F.col("second").isNull() | (F.col("second") - F.col("cost") >= apart))).select(F.col("short").alias("id"), "of")
     entity = materialize(entity.join(fits, "id", "left").select("id", F.coalesce("of", "entity").alias("entity")), "entities")
 
-    # each mentioned spelling to one entity
-    to = costs.join(rows.withColumnRenamed("name", "b"), "b").join(entity, "id").groupBy("a", "entity").agg(F.min("cost").alias("cost"), F.max("rarity").alias("rarity"))
-    by = Window.partitionBy("a").orderBy("cost", F.desc("rarity"), "entity")
-    to = to.withColumn("place", F.row_number().over(by)).withColumn("next", F.lead("cost").over(by)).withColumn("next_rarity", F.lead("rarity").over(by))
-    sure = F.col("next").isNull() | (F.col("next") - F.col("cost") >= apart) | ((F.col("next") > F.col("cost")) & (F.col("rarity") > F.col("next_rarity") + 0.5))
-    to = to.withColumn("sure", F.first(sure).over(by)).withColumn("least", F.first("cost").over(by))
+    # each mentioned spelling to one entity, by the rarity of what they share less the price of the rewriting: a form that
+    # two entities' rows produce says less than one that a single entity's rows produce, however many rows that has
+    own_of = rows.join(entity, "id")
+    produced = alias_forms.join(costs.select("form").distinct(), "form", "left_semi").join(own_of.select("name", "entity"), "name").groupBy("form").agg(F.countDistinct("entity").alias("entities"))
+    to = costs.join(own_of.withColumnRenamed("name", "b"), "b").join(produced, "form")
+    score = -F.log("entities") - price * F.col("cost")
+    to = to.groupBy("a", "entity").agg(F.max(score).alias("score")).filter(F.col("score") >= -price * most - 1e-9)
+    by = Window.partitionBy("a").orderBy(F.desc("score"), "entity")
+    to = to.withColumn("place", F.row_number().over(by)).withColumn("next", F.lead("score").over(by))
+    sure = F.col("next").isNull() | (F.col("score") - F.col("next") >= price * apart)
+    to = to.withColumn("sure", F.first(sure).over(by)).withColumn("top", F.first("score").over(by))
     own = to.filter("sure and place = 1").select(F.col("a").alias("name"), "entity")
     often = own.join(typed, "name").groupBy("entity").agg(F.sum("n").alias("often"))
-    either = to.filter(~F.col("sure") & (F.col("cost") - F.col("least") < apart)).join(often, "entity", "left").withColumn("often", F.coalesce("often", F.lit(0)))
+    either = to.filter(~F.col("sure") & (F.col("top") - F.col("score") < price * apart)).join(often, "entity", "left").withColumn("often", F.coalesce("often", F.lit(0)))
     lead = Window.partitionBy("a").orderBy(F.desc("often"), "entity")
     either = either.withColumn("place", F.row_number().over(lead)).withColumn("second", F.lead("often").over(lead))
     led = either.filter((F.col("place") == 1) & (F.col("often") >= leading * F.greatest("second", F.lit(1)))).select(F.col("a").alias("name"), "entity")
@@ -389,6 +430,9 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
 
 def linked_pairs(linked: DataFrame) -> DataFrame:
     """``id_a, id_b``: an alias row with every other record of its entity, each pair once, the smaller id first."""
-    rows = linked.filter("kind = 'row'").select("entity", F.col("id").alias("x"))
-    pairs = rows.join(linked.select("entity", F.col("id").alias("y")), "entity").filter("x <> y")
+    # an entity that a third of all documents name: its records are cut into salts, its few rows stand in each
+    salts = 16
+    rows = linked.filter("kind = 'row'").select("entity", F.col("id").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    others = linked.select("entity", F.col("id").alias("y"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"))
+    pairs = rows.join(others, ["entity", "salt"]).filter("x <> y")
     return pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
