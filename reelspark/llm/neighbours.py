@@ -17,12 +17,14 @@ def usable(vector: Column, dimension: Column | None = None) -> Column:
     """True where a vector is not null, has the full length, only finite numbers, and is not zero."""
     # the ends of the range tell most, NaN being the greatest number; only then is each element looked at
     top, low = F.array_max(vector), F.array_min(vector)
-    sound = (top < F.lit(1e30)) & (low > F.lit(-1e30)) & ((top != 0) | (low != 0)) & ~F.exists(vector, lambda x: x.isNull())
+    infinity = F.lit(float("inf"))
+    sound = (top < infinity) & (low > -infinity) & ((top != 0) | (low != 0)) & ~F.exists(vector, lambda x: x.isNull())
     return F.coalesce(vector.isNotNull() & ((F.size(vector) == dimension) if dimension is not None else F.lit(True)) & sound, F.lit(False))
 
 
 def _unit(rows: list, dim: int) -> np.ndarray:
     v = np.asarray(rows, dtype=np.float64).reshape(-1, dim)
+    v = v / np.abs(v).max(axis=1, keepdims=True)  # whatever their scale, the squares stay in range
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
@@ -90,6 +92,7 @@ class CrossPolytope:
 def similar_vectors(
     vectors: DataFrame, *, id: str, vector: str, groups: list[str], k: int = 5, min_cosine: float = -1.0,
     tables: int = 5, probes: int = 2, rows_per_bucket: int = 256, full_bucket: int = 4096, query: Column | None = None, seed: int = 5,
+    sure: float | None = None, rows_per_part: int = 20_000,
 ) -> DataFrame:
     """``id_a, id_b, cosine, place``: for each row its ``k`` most similar rows among those of equal ``groups``.
 
@@ -102,6 +105,10 @@ def similar_vectors(
     in such a bucket grows with the square of its rows. Rows with exactly the same direction are hashed once: one of
     them asks, and its copies, being at cosine 1 to each other, come before all others in the order of their ids.
 
+    Neighbours that are hardly nearer than any other vector share no bucket. With ``sure`` an asking row whose k-th find is
+    less similar than that (or that found fewer) is compared exactly with all rows of its group, in blocks: queries x rows
+    in work, so meant for a stated query set.
+
     Ties in cosine are broken by the smaller id. ``vector`` must hold usable vectors of one length for each group (see
     :func:`usable`); nulls in ``groups`` form a group of their own. Null ids are left out, ids must be distinct. An empty
     table gives an empty result. Other columns are ignored.
@@ -187,9 +194,53 @@ def similar_vectors(
     # few and narrow rows that several branches read: written once, or every branch would compare the buckets again
     met = materialize(met, "met")
     met = materialize(_exact_cosine(met, rows).filter(F.col("cosine") >= min_cosine), "cosines")
+    if sure is not None:
+        met = _made_sure(met, rows, k, min_cosine, sure, rows_per_part, kind)
     return _with_copies(met, members, rows.select("g", "id", "asks"), k).select("id_a", "id_b", "cosine", "place")
 
 
+def _made_sure(met: DataFrame, rows: DataFrame, k: int, min_cosine: float, sure: float, rows_per_part: int, kind: str) -> DataFrame:
+    """``met`` with the k nearest of all rows for the asking rows whose k-th find is below ``sure``.
+
+    Rows are cut into parts and the unsure ones into blocks; a task compares one part with one block and returns k rows for each
+    unsure row. The screen in one-byte vectors and the exact cosines are those of the hashed candidates.
+    """
+    best = F.row_number().over(Window.partitionBy("g", "id_a").orderBy(F.desc("cosine"), "id_b"))
+    certain = met.withColumn("r", best).filter((F.col("r") == k) & (F.col("cosine") >= sure)).select("g", F.col("id_a").alias("id"))
+    unsure = materialize(rows.filter("asks").select("g", "id", "v").join(certain, ["g", "id"], "left_anti"), "unsure")
+    n_parts = max(1, -(-rows.count() // rows_per_part))
+    n_blocks = max(1, -(-unsure.count() // rows_per_part))
+    part = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(n_parts)).cast("int").alias("part")
+    block = F.pmod(F.xxhash64("id", F.lit(12)), F.lit(n_blocks)).cast("int").alias("block")
+    every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    here = rows.select("g", part, every(n_blocks, "block"), "id", "v")
+    asking = unsure.select("g", every(n_parts, "part"), block, "id", "v")
+
+    def local(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out_a, out_b = [left["id"].to_numpy()[:0]], [right["id"].to_numpy()[:0]]
+        if len(left) and len(right):
+            dim, ids = len(right["v"].iloc[0]), right["id"].to_numpy()
+            unit = _unit(list(right["v"]), dim).astype(np.float32)
+            for at in range(0, len(left), 512):
+                q = left.iloc[at : at + 512]
+                cos = _unit(list(q["v"]), dim).astype(np.float32) @ unit.T
+                cos[q["id"].to_numpy()[:, None] == ids[None, :]] = -2
+                floor = np.full(len(q), max(min_cosine, -1.0) - SCREEN, np.float32)
+                if k < len(ids):
+                    floor = np.maximum(floor, -np.partition(-cos, k - 1, axis=1)[:, k - 1] - 1e-5)
+                r, c = np.nonzero(cos >= floor[:, None])
+                out_a.append(q["id"].to_numpy()[r])
+                out_b.append(ids[c])
+        a = np.concatenate(out_a)
+        g = (left if len(left) else right)["g"].iloc[0]
+        return pd.DataFrame({"g": np.full(len(a), g, np.int64), "id_a": a, "id_b": np.concatenate(out_b)})
+
+    key = ["g", "part", "block"]
+    found = asking.groupBy(*key).cogroup(here.groupBy(*key)).applyInPandas(local, f"g bigint, id_a {kind}, id_b {kind}")
+    exact = _exact_cosine(materialize(found, "unsure-met"), rows).filter(F.col("cosine") >= min_cosine)
+    return materialize(met.unionByName(exact).distinct(), "made-sure")
+
+
 def _in_chunks(tasks: DataFrame, full: DataFrame, key: list[str]) -> DataFrame:
     """``tasks`` with ``chunk``: the buckets in ``full`` are cut into ``side`` x ``side`` squares of home rows against asking rows.
 
