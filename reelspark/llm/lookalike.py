@@ -18,6 +18,8 @@ COLLATION = "UNICODE"
 _CYRILLIC = ("асеорхуѕіјһԁԛԝѵӏАВЕКМНОРСТХУІЈЅҮԌԚԜ", "aceopxysijhdqwvlABEKMHOPCTXYIJSYGQW")
 _GREEK = ("οναρΑΒΕΖΗΙΚΜΝΟΡΤΥΧϳ", "ovapABEZHIKMNOPTYXj")
 _OTHER = ("ÐƉɑɡıꓲ", "ĐĐagiI")
+_ARMENIAN_AND_CHEROKEE = ("ՕօՍոսցհՏᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏚᎢᏙᎳᏃᏀ", "OoUnughSABCDEHJKLMPSTVWZG")
+_SMALL = ("ᴄᴏᴠᴡᴢ", "covwz")
 _BLANKS = "               　\t"
 _INVISIBLE = "­͏؜ᅟᅠ឴឵᠋᠌᠍᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩︀︁︂︎️﻿"
 
@@ -25,7 +27,7 @@ _INVISIBLE = "­͏؜ᅟᅠ឴឵᠋᠌᠍᠎​‌‍‎‏‪‫‬‭‮⁠⁡
 def _single_letters() -> dict[str, str]:
     """Every one-to-one replacement, by rule: look-alikes, accented look-alikes, full-width and half-width forms, blanks."""
     out: dict[str, str] = {}
-    for foreign, latin in (_CYRILLIC, _GREEK, _OTHER):
+    for foreign, latin in (_CYRILLIC, _GREEK, _OTHER, _ARMENIAN_AND_CHEROKEE, _SMALL):
         out |= dict(zip(foreign, latin, strict=True))
     for code in [*range(0x370, 0x530), *range(0x1F00, 0x2000)]:  # accented Greek and Cyrillic: the twin of the base with the same accents
         char = chr(code)
@@ -38,6 +40,11 @@ def _single_letters() -> dict[str, str]:
         wide = unicodedata.normalize("NFKC", chr(code))
         if len(wide) == 1 and wide != chr(code):
             out[chr(code)] = out.get(wide, wide)
+    for code in [*range(0x2100, 0x2189), *range(0x1D400, 0x1D800)]:  # letters and digits of another font, Roman numerals
+        kind, _, plain = unicodedata.decomposition(chr(code)).partition(" ")
+        letter = chr(int(plain, 16)) if kind in ("<font>", "<compat>") and plain and " " not in plain else ""
+        if letter.isalnum():
+            out[chr(code)] = out.get(letter, letter)
     out |= {c: " " for c in _BLANKS}
     return out
 
@@ -94,7 +101,8 @@ def variant_classes(texts: DataFrame) -> DataFrame:
     Null and empty texts and null ids belong to no class. Repeated rows are separate members.
     """
     rows = _blocked(texts)
-    several = rows.groupBy("block").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("block")
+    # hashes, not texts: numbers are aggregated without sorting the rows
+    several = rows.groupBy("block").agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi")).filter("lo <> hi").select("block")
     members = rows.join(several, "block", "left_semi").select("src", "id", "text", F.collate("look", COLLATION).alias("look"))
     members = materialize(members, "looks")
     spellings = members.groupBy("src", "look", "text").agg(F.count(F.lit(1)).alias("n"))
@@ -110,8 +118,23 @@ def consistent(texts: DataFrame) -> DataFrame:
 
 
 def same_look_pairs(texts: DataFrame) -> DataFrame:
-    """``src, id_a, id_b``: rows that look the same but are different strings, the smaller id first."""
-    rows = variant_classes(texts).select("src", "id", "class_id", "text")
-    other = rows.select("src", "class_id", F.col("id").alias("id_b"), F.col("text").alias("text_b"))
-    pairs = rows.join(other, ["src", "class_id"]).filter("id < id_b and text <> text_b")
-    return pairs.select("src", F.col("id").alias("id_a"), "id_b").distinct()
+    """``src, id_a, id_b``: rows that look the same but are different strings, the smaller id first.
+
+    Spellings are paired first, then each spelling's rows with those of its partner: equal rows, however many, meet no
+    other row but those that the result names.
+    """
+    rows = materialize(variant_classes(texts).select("src", "class_id", F.xxhash64("text").alias("t"), "text", "id"), "variants")
+    spellings = rows.select("src", "class_id", "t", "text").distinct()
+    other = spellings.select("src", "class_id", F.col("t").alias("u"), F.col("text").alias("other"))
+    differing = spellings.join(other, ["src", "class_id"]).filter("text < other").select("src", "class_id", "t", "u", "text", "other")
+    left = rows.select("src", "class_id", "t", "text", F.col("id").alias("x"))
+    right = rows.select("src", "class_id", F.col("t").alias("u"), F.col("text").alias("other"), F.col("id").alias("y"))
+    pairs = differing.join(left, ["src", "class_id", "t", "text"]).join(right, ["src", "class_id", "u", "other"]).filter("x <> y")
+    return pairs.select("src", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
+
+
+def variant_members(texts: DataFrame) -> DataFrame:
+    """``src, id, class_id, spellings, rows``: one row for each row of a class of several spellings, with the class's size."""
+    rows = variant_classes(texts)
+    size = rows.groupBy("src", "class_id").agg(F.countDistinct("text").alias("spellings"), F.count(F.lit(1)).alias("rows"))
+    return rows.select("src", "id", "class_id").join(size, ["src", "class_id"]).select("src", "id", "class_id", "spellings", "rows")
