@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelspark.session import materialize
+
 # Coefficients of Acklam's rational approximation of the inverse normal distribution (published).
 _A = (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00)
 _B = (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01)
@@ -37,7 +39,7 @@ def _percentiles(long: DataFrame, split_rows: int, splits: int) -> DataFrame:
     Works on distinct scores with their counts. A (group, score) column with more than ``split_rows`` of them is cut
     into ranges by approximate quantiles; the ranks stay exact, for a range's offset is a sum of counts.
     """
-    counts = long.groupBy("g", "m", "s").agg(F.count(F.lit(1)).alias("c"))
+    counts = materialize(long.groupBy("g", "m", "s").agg(F.count(F.lit(1)).alias("c")), "counts")
     fractions = [i / splits for i in range(1, splits)]
     hot = (
         counts.groupBy("g", "m").agg(F.count(F.lit(1)).alias("nd"), F.percentile_approx("s", fractions, 1000).alias("cuts"))
@@ -79,6 +81,8 @@ def fuse_scores(
         .groupBy(F.col(f"`{group}`").alias("g"), F.col(f"`{item}`").alias("i"))
         .agg(*[value(c, up).alias(f"s{k}") for k, (c, (_, up)) in enumerate(scores.items())])
     )
+    # several branches read the items and the distinct scores: each is written once, or every branch would aggregate anew
+    items = materialize(items, "items")
     stack = F.explode(F.array(*[F.struct(F.lit(k).alias("m"), F.lit(float(w)).alias("w"), F.col(f"s{k}").alias("s")) for k, (w, _) in enumerate(scores.values())]))
     long = items.select("g", "i", stack.alias("x")).select("g", "i", "x.*")
     pct = _percentiles(long.filter("s is not null"), split_rows, splits)
