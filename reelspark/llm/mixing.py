@@ -62,7 +62,7 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int,
     return take
 
 
-def mix(docs: DataFrame, targets: DataFrame, *, id: str, source: str, size: str, seed: int = 11, buckets: int = 64) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, *, id: str, source: str, size: str, seed: int = 11, per_bucket: int = 20_000) -> DataFrame:
     """Choose items so that each source has its target share of the total size.
 
     ``docs`` has an id, a clean source and a size; ``targets`` has ``source, target_share, max_repeats``. The total is
@@ -71,13 +71,15 @@ def mix(docs: DataFrame, targets: DataFrame, *, id: str, source: str, size: str,
     taken is decided by a seeded hash. Returns ``id, source, size, copies`` with ``copies`` from 1 to ``max_repeats``.
 
     Items of a source without target, with a null id or source, or of size 0 are not used. A target without items is
-    ignored and the shares of the others keep their proportions. Repeated ids count as separate items. An empty table
+    ignored and the shares of the others keep their proportions. Items of one length are ordered in buckets of about
+    ``per_bucket``, however many there are. Repeated ids count as separate items. An empty table
     gives an empty result. ``docs`` is read three times, so pass a written table.
     """
     d = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{source}`").alias("src"), F.col(f"`{size}`").cast("bigint").alias("len")).filter("id is not null and src is not null and len > 0")
     t = targets.select(F.col("source").alias("src"), F.col("target_share").cast("double").alias("share"), F.greatest(F.col("max_repeats").cast("bigint"), F.lit(0)).alias("reps")).filter("src is not null and share > 0 and reps > 0").dropDuplicates(["src"])
-    bucket = F.pmod(F.shiftright(F.xxhash64("id", F.lit(seed)), 20), F.lit(buckets))
-    d = d.withColumn("b", bucket)
+    # templated items may have one length: the number of buckets follows the number of items
+    buckets = max(1, -(-d.count() // per_bucket))
+    d = d.withColumn("b", F.pmod(F.shiftright(F.xxhash64("id", F.lit(seed)), 20), F.lit(buckets)))
     by_bucket = d.groupBy("src", "len", "b").agg(F.count(F.lit(1)).alias("c"))
     by_length = by_bucket.groupBy("src", "len").agg(F.sum("c").alias("c"))
     # one row a source from here: the total that all sources can reach, and each source's budget
