@@ -1,7 +1,8 @@
 """Problem 9: personal information in free text, found and replaced by typed placeholders.
 
-Email addresses, phone numbers, identity numbers and addresses have a form of their own and are found by grammar. Names
-have none: a run of capitalised words is protected where corpus co-occurrence says that its neighbours and its words
+Email addresses, phone numbers, identity numbers and addresses have a form of their own and are found by grammar; numbers
+that no form claims are judged by corpus co-occurrence, which learns from the claimed ones what a left word, a right word and a
+shape of digits disclose. Names have no form: a run of capitalised words is protected where corpus co-occurrence says that its neighbours and its words
 disclose a person. Every run's context and words get a weight of evidence (log likelihood ratio of standing with a
 person rather than with anything else), estimated over all documents by expectation-maximisation from the PERSON
 entities of the corpus and a few words that introduce persons or places; runs above the threshold are replaced.
@@ -63,6 +64,9 @@ _PHONE = "|".join((
     r"8[ -]?\(?\d{3}\)?[ -]?\d{3}(?:[ -]?\d{2}){2}",
 ))
 _PHONE = rf"(?<![\w+,$€.-])(?<!\d )(?:{_PHONE})(?![\w-]|[.,]\d| ?[%€$])"
+#: Shorter numbers and those of other shapes are a phone number behind a word that says so.
+_PHONE_CUES = "phone telephone tel mobile cell fax call dial whatsapp zalo gọi điện_thoại số_điện_thoại đt sđt téléphone portable appelez appeler telefone telemóvel celular ligue ligar телефон тел звоните позвоните".split()
+_PHONE_CUED = rf"\b(?:{'|'.join(c.replace('_', ' ') for c in sorted(_PHONE_CUES, key=len, reverse=True))})\b\.?[ :]{{1,3}}(?P<phone>\+?\(?\d(?:[ .()-]{{0,2}}\d){{6,14}})(?![\w-]|[.,]\d| ?[%€$])"
 
 #: Numbers that are an identity number only next to a word that says so: the word before (or after) within one sentence.
 _ID_BEFORE = (
@@ -87,6 +91,8 @@ _ADDRESS = "|".join((
     rf"P\.?O\.? Box \d+(?:, {_NAMES})?",
     rf"\d+(?: (?:bis|ter))?,? (?:rue|avenue|impasse|boulevard|place|allée|chemin|quai|cours) (?:(?:de la|de l'|des|du|de|d') ?)?{_NAMES}(?:, \d{{5}}(?: {_NAMES})?)?",
     rf"(?:Rua|Avenida|Av\.|Travessa|Praça|Largo|Alameda|Estrada) (?:(?:da|do|das|dos|de) )?{_NAME}(?: (?:da|do|das|dos|de|{_NAME}))*, \d+(?:, \d+\.?º (?:andar|dto|esq))?(?:, \d{{4,5}}-\d{{3}})?(?:, {_NAMES})?",
+    # whatever the language: a street and its number, then a postal code and a place
+    rf"{_NAMES} \d+\w?, \d{{4,6}} {_NAMES}", rf"\d+\w?,? {_NAMES}, \d{{4,6}} {_NAMES}",
     rf"(?:\d{{6}}, )?(?:(?:г\.|город) {_NAMES}, )?(?:ул\.|улица|пер\.|переулок|пр\.|проспект|наб\.|бул\.|пл\.|шоссе) ?{_NAMES}, (?:д\.|дом) ?\d+\w?(?:, (?:к|корп|стр)\. ?\d+)?(?:, (?:кв\.|квартира) ?\d+)?",
 ))
 
@@ -104,13 +110,18 @@ _RE = [
     ("ID_NUMBER", re.compile(_ID_AFTER, re.I), lambda low: " as " in low or " is " in low or " for " in low),
     ("ID_NUMBER", re.compile(_ID_SHAPE), None),
     ("PHONE", re.compile(_PHONE), None),
+    ("PHONE", re.compile(_PHONE_CUED, re.I), None),
     ("PHONE", re.compile(rf"(?<!\w)(?:{_SPOKEN})", re.I), lambda low: sum(map(_DIGITS.__contains__, low.replace(",", " ").replace("-", " ").split())) >= 6),
 ]
 _ONE = rf"[{_U}](?:\.|[\w'’]*)"  # a word, or an initial with its point
 _PARTICLE = r"(?:d[aeou]|das|dos|del|van|von|der|den)"
-_RUN = re.compile(rf"(?<![\w@.]){_ONE}(?:[- ](?:{_PARTICLE} ){{0,2}}{_ONE}){{1,4}}(?![\w@])")
+_RUN = re.compile(rf"(?<![\w@.]){_ONE}(?:[- ](?:{_PARTICLE} ){{0,2}}{_ONE})+(?![\w@])")
 #: A single capitalised word behind a title; in a run the title is cut off.
 _TITLED = re.compile(rf"(?<![\w@.])(?i:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? (?P<name>[{_U}][\w'’]+)(?![\w@])")
+#: The same behind a word that introduces a person.
+_INTRODUCED = re.compile(rf"\b(?i:{'|'.join(c.replace('_', ' ') for c in sorted(PERSON_CUES, key=len, reverse=True))})\b\.? (?P<name>[{_U}][\w'’]+)(?![\w@])")
+#: A number that no form claims; the corpus decides by its neighbours and its shape.
+_NUMBER = re.compile(r"(?<![\w@.,/+-])\+?\(?\d(?:[ .()-]{0,2}\d){6,14}(?![\w@]|[.,]\d| ?[%€$])")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _ODD = re.compile("[\u0300-\u036f\u200b-\u200f\u2060\ufeff\u00ad\uff00-\uffef\u00a0\u2000-\u200a\u202f\u205f\u3000]")
 
@@ -134,33 +145,86 @@ def _plain(text: str) -> tuple[str, list[int] | None]:
     return "".join(out), at
 
 
+class _Taken:
+    """Disjoint stretches in order; asked in logarithmic time."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, a: int, b: int) -> bool:
+        k = bisect_right(self.ends, a)
+        return k == len(self.starts) or b <= self.starts[k]
+
+    def add(self, a: int, b: int) -> None:
+        k = bisect_right(self.starts, a)
+        self.starts.insert(k, a)
+        self.ends.insert(k, b)
+
+
+def _beside(plain: str, line: tuple[int, int], a: int, b: int) -> tuple[str, str]:
+    """The two words before and after a stretch within its line and sentence, however far they stand."""
+    size = 60
+    while True:  # most neighbours stand near: the window grows only where they do not
+        low, high = max(line[0], a - size), min(line[1], b + size)
+        before, after = plain[low:a], plain[b:high]
+        cut = [x.end() for x in re.finditer(r"[.!?]\s", before)]
+        title = re.search(r"\b(\w+)\. $", before)
+        if title and title.group(1).lower() in TITLES:
+            cut = [x for x in cut if x < title.start()]
+        stop = re.search("[.!?]", after)
+        left = _WORD.findall(before[cut[-1]:] if cut else before)
+        right = _WORD.findall(after[: stop.start()] if stop else after)
+        if (cut or low == line[0] or len(left) > 2) and (stop or high == line[1] or len(right) > 2):
+            return " ".join(w.lower() for w in left[-2:]) or "^", " ".join(w.lower() for w in right[:2]) or "$"
+        size *= 2
+
+
 def spans(text: str) -> list[tuple[str, int, int, str, str, str]]:
-    """(kind, start, end, run, left, right): the grammar's finds and, as CANDIDATE, runs of capitalised words with their neighbours."""
+    """(kind, start, end, run, left, right): the grammar's finds and, as CANDIDATE and NUMBER, runs of capitalised words and
+    numbers that no form claims. Numbers come with their shape (digits as 0) and their neighbours, names with themselves."""
     plain, at = _plain(text)
-    taken: list[tuple[int, int]] = []
-    out = []
+    taken, out = _Taken(), []
     place = (lambda k: k) if at is None else at.__getitem__
-    free = lambda a, b: all(b <= x or a >= y for x, y in taken)
     low = plain.lower()
+    breaks = [m.start() for m in re.finditer("\n", plain)]
+
+    def line(a: int) -> tuple[int, int]:
+        k = bisect_right(breaks, a - 1)
+        return (breaks[k - 1] + 1 if k else 0), (breaks[k] if k < len(breaks) else len(plain))
+
+    zeros = lambda x: re.sub("[0-9]", "0", x)
+    shape = lambda a, b: zeros(plain[a:b])
+    near = lambda a, b: tuple(map(zeros, _beside(plain, line(a), a, b)))
     for kind, pattern, may in _RE:
         if may is not None and not may(low):
             continue
         for m in pattern.finditer(plain):
             a, b = m.span(m.lastgroup) if m.lastgroup else m.span()
-            if kind == "ID_NUMBER" and sum(c.isdigit() for c in plain[a:b]) < 6:
+            digits = sum(c.isdigit() for c in plain[a:b])
+            if kind == "ID_NUMBER" and digits < 6:
                 continue
-            if kind == "PHONE" and sum(c.isdigit() for c in plain[a:b]) not in range(10, 16) and plain[a:b][-1].isdigit():
+            if kind == "PHONE" and digits not in range(7 if m.lastgroup else 10, 16) and plain[a:b][-1].isdigit():
                 continue
-            if free(a, b):
-                taken.append((a, b))
-                out.append((kind, place(a), place(b), "", "", ""))
-    runs = [m.span() for m in _RUN.finditer(plain)]
-    inside = lambda a, b: any(x < b and a < y for x, y in runs)
-    single = {m.span("name") for m in _TITLED.finditer(plain) if not inside(*m.span("name"))}
-    for a, b in sorted([*runs, *single]):
+            if taken.free(a, b):
+                taken.add(a, b)
+                out.append((kind, place(a), place(b), shape(a, b), *near(a, b)) if kind in ("PHONE", "ID_NUMBER") else (kind, place(a), place(b), "", "", ""))
+    for m in _NUMBER.finditer(plain):
+        if taken.free(*m.span()):
+            out.append(("NUMBER", place(m.start()), place(m.end()), shape(*m.span()), *near(*m.span())))
+    runs = _Taken()
+    found = []
+    for m in _RUN.finditer(plain):
+        runs.add(*m.span())
+        found.append((*m.span(), False))
+    for pattern in (_TITLED, _INTRODUCED):
+        for m in pattern.finditer(plain):
+            if runs.free(*m.span("name")):
+                runs.add(*m.span("name"))
+                found.append((*m.span("name"), True))
+    for a, b, titled in sorted(found):
         run = plain[a:b].rstrip(".") if not re.search(r"\b\w\.$", plain[a:b]) else plain[a:b]
         first = _WORD.match(run)
-        titled = (a, b) in single
         while first and first.group().lower() in TITLES and " " in run:
             titled = True
             cut = len(run) - len(run[first.end():].lstrip(". "))
@@ -168,17 +232,9 @@ def spans(text: str) -> list[tuple[str, int, int, str, str, str]]:
             first = _WORD.match(run)
         words = _WORD.findall(run)
         b = a + len(run)
-        if len(words) < 2 and not (titled and len(run) > 1) or not free(a, b) or any(c.isdigit() for c in run):
+        if len(words) < 2 and not (titled and len(run) > 1) or not taken.free(a, b) or any(c.isdigit() for c in run):
             continue
-        line = plain.rfind("\n", 0, a) + 1
-        before, after = plain[max(line, a - 60):a], plain[b:b + 60].split("\n")[0]
-        cut = [x.end() for x in re.finditer(r"[.!?]\s", before)]
-        title = re.search(r"\b(\w+)\. $", before)
-        if title and title.group(1).lower() in TITLES:
-            cut = [x for x in cut if x < title.start()]
-        left = [w.lower() for w in _WORD.findall(before[cut[-1]:] if cut else before)][-2:]
-        right = [w.lower() for w in _WORD.findall(re.split(r"[.!?]", after)[0])][:2]
-        out.append(("CANDIDATE", place(a), place(b), run, " ".join(left) or "^", " ".join(right) or "$"))
+        out.append(("CANDIDATE", place(a), place(b), run, *_beside(plain, line(a), a, b)))
     return out
 
 
@@ -233,26 +289,51 @@ def disclosure(candidates: DataFrame, known: DataFrame, rounds: int = 4) -> Data
     both = F.replace("left", F.lit(" "), F.lit("_"))
     cue = lambda cues: last.isin(*cues) | both.isin(*cues)
     exploded = kinds.select("k", F.explode("words").alias("word"))
-    share = exploded.join(known, "word", "left").groupBy("k").agg(F.avg(F.coalesce("share", F.lit(0.5))).alias("share"), F.min(F.coalesce("share", F.lit(0.5))).alias("least"))
+    share = exploded.join(known.hint("merge"), "word", "left").groupBy("k").agg(F.avg(F.coalesce("share", F.lit(0.5))).alias("share"), F.min(F.coalesce("share", F.lit(0.5))).alias("least"))
     place = cue(PLACE_CUES) | F.arrays_overlap("words", F.array(*[F.lit(w) for w in _INNER])) | F.regexp_extract("right", r"^(\S+)", 1).isin("road", "street", "stage", "square")
     guess = F.when(place, 0.03).when(cue(PERSON_CUES), 0.95).otherwise(0.2 * F.coalesce("share", F.lit(0.5)) + 0.6 * F.coalesce("least", F.lit(0.5)))
-    kinds = materialize(kinds.join(share, "k", "left").select("k", "run", "left", "right", "words", "n", guess.alias("prior"), place.alias("place")), "runs")
+    kinds = materialize(kinds.join(share.hint("merge"), "k", "left").select("k", "run", "left", "right", "words", "n", guess.alias("prior"), place.alias("place")), "runs")
     exploded = kinds.select("k", F.explode("words").alias("word"))
     now = kinds.select("k", "left", "right", "n", F.col("prior").alias("r"))
     for step in range(rounds):
         sums = (F.sum(F.col("n") * F.col("r")).alias("p"), F.sum("n").alias("t"))
         left = _evidence(now.filter("left <> '^'").groupBy("left").agg(*sums), "left", "el")
         right = _evidence(now.filter("right <> '$'").groupBy("right").agg(*sums), "right", "er")
-        word = _evidence(exploded.join(now.select("k", "n", "r"), "k").groupBy("word").agg(*sums), "word", "ew")
-        words = exploded.join(word, "word").groupBy("k").agg(F.avg("ew").alias("ew"))
+        word = _evidence(exploded.join(now.select("k", "n", "r").hint("merge"), "k").groupBy("word").agg(*sums), "word", "ew")
+        words = exploded.join(word.hint("merge"), "word").groupBy("k").agg(F.avg("ew").alias("ew"))
         logit = F.coalesce("el", F.lit(0.0)) + 0.7 * F.coalesce("er", F.lit(0.0)) + F.coalesce("ew", F.lit(0.0)) + 0.5 * F.log(F.col("prior") / (1 - F.col("prior")))
         now = (
-            kinds.join(left, "left", "left").join(right, "right", "left").join(words, "k", "left")
+            # these grow with the distinct runs and contexts of the corpus: sorted and merged, never broadcast
+            kinds.join(left.hint("merge"), "left", "left").join(right.hint("merge"), "right", "left").join(words.hint("merge"), "k", "left")
             .select("k", "left", "right", "n", F.when(F.col("place"), F.col("prior")).otherwise(1 / (1 + F.exp(-logit))).alias("r"))
         )
         if step < rounds - 1:
             now = materialize(now, "round")
-    return now.join(kinds.select("k", "run"), "k").select("run", "left", "right", F.col("r").alias("person"))
+    return now.join(kinds.select("k", "run").hint("merge"), "k").select("run", "left", "right", F.col("r").alias("person"))
+
+
+def disclosed_numbers(found: DataFrame, rounds: int = 3, threshold: float = 0.85) -> DataFrame:
+    """``run, left, right, pii_type``: shapes and neighbours with which a number that no form claims is a phone or identity number.
+
+    The numbers that the forms claim teach what each left word, right word and shape discloses, over all documents; each round
+    weighs the unclaimed numbers anew, and they count as ordinary numbers as far as they do not pass.
+    """
+    n = found.filter("kind in ('PHONE', 'ID_NUMBER', 'NUMBER')").groupBy("kind", "run", "left", "right").agg(F.count(F.lit(1)).alias("n"))
+    features = F.array(F.concat(F.lit("l "), F.regexp_extract("left", r"(\S+)$", 1)), F.concat(F.lit("r "), F.regexp_extract("right", r"^(\S+)", 1)), F.concat(F.lit("s "), F.col("run")))
+    n = materialize(n.withColumn("k", F.xxhash64("kind", "run", "left", "right")).withColumn("f", features), "numbers")
+    out = None
+    for kind in ("PHONE", "ID_NUMBER"):
+        now = n.withColumn("p", F.when(F.col("kind") == kind, 1.0).when(F.col("kind") == "NUMBER", 0.02).otherwise(0.0))
+        for step in range(rounds):
+            each = now.select("n", "p", F.explode("f").alias("x"))
+            stat = each.groupBy("x").agg(F.sum(F.col("n") * F.col("p")).alias("p"), F.sum("n").alias("t"))
+            # the words beside most numbers and shapes are few: no evidence is broadcast, whatever its size
+            weighed = now.select("k", F.explode("f").alias("x")).join(_evidence(stat, "x", "e").hint("merge"), "x").groupBy("k").agg(F.sum("e").alias("e"))
+            p = F.when(F.col("kind") == kind, 1.0).when(F.col("kind") == "NUMBER", 1 / (1 + F.exp(2.0 - F.col("e")))).otherwise(0.0)
+            now = materialize(n.join(weighed.hint("merge"), "k").withColumn("p", p).drop("e"), "numbers-round")
+        passed = now.filter((F.col("kind") == "NUMBER") & (F.col("p") >= threshold)).select("run", "left", "right", F.lit(kind).alias("pii_type"), "p")
+        out = passed if out is None else out.unionByName(passed)
+    return out.groupBy("run", "left", "right").agg(F.max_by("pii_type", F.struct("p", "pii_type")).alias("pii_type"))
 
 
 def known_words(entities: DataFrame) -> DataFrame:
@@ -271,9 +352,11 @@ def find_pii(docs: DataFrame, entities: DataFrame, *, id: str, text: str, thresh
     found = materialize(_find(docs, id, text), "spans")
     candidates = found.filter("kind = 'CANDIDATE'")
     persons = disclosure(candidates, known_words(entities), rounds).filter(F.col("person") >= threshold).select("run", "left", "right")
-    names = candidates.join(persons, ["run", "left", "right"], "left_semi").withColumn("kind", F.lit("PERSON"))
+    names = candidates.join(persons.hint("merge"), ["run", "left", "right"], "left_semi").withColumn("kind", F.lit("PERSON"))
+    numbers = found.filter("kind = 'NUMBER'").join(disclosed_numbers(found), ["run", "left", "right"]).withColumn("kind", F.col("pii_type"))
     columns = [F.col("id").alias(id), "line_no", "start", "end", F.col("kind").alias("pii_type")]
-    return found.filter("kind <> 'CANDIDATE'").select(*columns).unionByName(names.select(*columns))
+    claimed = found.filter("kind not in ('CANDIDATE', 'NUMBER')")
+    return claimed.select(*columns).unionByName(names.select(*columns)).unionByName(numbers.select(*columns))
 
 
 def redact(docs: DataFrame, found: DataFrame, *, id: str, text: str) -> DataFrame:
