@@ -76,7 +76,20 @@ with v as (
 select x.a as cache_id_a, x.b as cache_id_b from r x join r y on x.a = y.b and x.b = y.a where x.a < x.b
 """
 
+# the same brute force for the stated query set, whatever the similarity
+_P4_STATED = _P4[: _P4.index("), r as")].replace("a.cache_id <> b.cache_id", "a.cache_id <> b.cache_id and a.cache_id % 20 = 0") + """), r as (
+  select a as query_id, b as cache_id, round(c, 6) as similarity, row_number() over (partition by a order by c desc, b) as place from p)
+select query_id, cache_id, similarity, place::int as place from r where place <= 5
+"""
+
+# one form for each class: the most frequent spelling, of equally frequent ones the smallest
+_P5_CLASSES = _P5[: _P5.index("select distinct a.src")] + """, s as (select src, look, text, count(*) as n from k group by all),
+c as (select src, look, first(text order by n desc, text) as canonical, count(*) as spellings from s group by all)
+"""
+
 ORACLE: dict[str, str] = {
+    "p4_neighbours": _P4_STATED,
+    "p5_consistent": _P5_CLASSES + "select t.src, t.id, coalesce(c.canonical, t.text) as canonical from t left join k on t.src = k.src and t.id = k.id left join c on c.src = k.src and c.look = k.look and c.spellings > 1",
     "p4_found": _P4,
     "p5_found": _P5,
     "p2_found": _P2,

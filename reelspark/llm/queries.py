@@ -66,6 +66,12 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id_a").alias("cache_id_a"), F.col("id_b").alias("cache_id_b"))
 
 
+def p4_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The five most similar rows of every row of the stated set (ids divisible by 20) among all rows, however far."""
+    near = neighbours.similar_vectors(_vectors(spark, sf), id="cache_id", vector="vector", groups=_MODEL, k=5, query=F.col("cache_id") % 20 == 0, sure=0.8)
+    return near.select(F.col("id_a").alias("query_id"), F.col("id_b").alias("cache_id"), F.round("cosine", 6).alias("similarity"), F.col("place").cast("int").alias("place"))
+
+
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
     parts = (("documents", "doc_id", "combined_text"), ("ocr_records", "ocr_id", "text"), ("subtitle_cues", "cue_id", "text"))
     frames = [table(spark, sf, t).select(F.lit(t).alias("src"), F.col(i).alias("id"), F.col(c).alias("text")) for t, i, c in parts]
@@ -80,6 +86,10 @@ def p5_consistent(spark: SparkSession, sf: str) -> DataFrame:
     return lookalike.consistent(_texts(spark, sf)).select("src", "id", "canonical")
 
 
+def p5_members(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalike.variant_members(_texts(spark, sf))
+
+
 def _maybe_garbled(spark: SparkSession, sf: str) -> DataFrame:
     parts = (("documents", "doc_id", "subtitle_text"), ("documents", "doc_id", "ocr_text"), ("subtitle_cues", "cue_id", "text"))
     frames = [table(spark, sf, t).select(F.lit(f"{t}.{c}").alias("src"), F.col(i).alias("rec_id"), F.col(c).alias("text")) for t, i, c in parts]
@@ -136,8 +146,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_fused": p3_fused,
     "p4_found": p4_found,
+    "p4_neighbours": p4_neighbours,
     "p5_found": p5_found,
     "p5_consistent": p5_consistent,
+    "p5_members": p5_members,
     "p6_found": p6_found,
     "p6_restored": p6_restored,
     "p6_mapping": p6_mapping,
