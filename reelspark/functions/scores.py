@@ -67,3 +67,12 @@ def bhattacharyya(a: Column, b: Column) -> Column:
 def frame_quality(sharpness: Column, brightness: Column) -> Column:
     """Sharpness weighted by how near the brightness is to the middle of its range."""
     return sharpness * (0.5 + F.greatest(F.lit(0.0), 1 - F.abs(brightness - 127.5) / 127.5))
+
+
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson's correlation of two histograms of equal length; 1 where one of them is constant, null where one is missing."""
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+    n, sa, sb = F.size(a), total(a), total(b)
+    shared, own_a, own_b = dot(a, b) - sa * sb / n, dot(a, a) - sa * sa / n, dot(b, b) - sb * sb / n
+    spread = F.sqrt(F.greatest(own_a * own_b, F.lit(0.0)))
+    return F.when(a.isNull() | b.isNull(), None).when(spread > 1e-12, shared / spread).otherwise(1.0)
