@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspark.functions import text as X
@@ -25,74 +23,57 @@ EMAIL = r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b"
 URL = r"(?i)https?://\S+"
 ACRONYM = r"\b[A-ZĐ][A-ZĐ0-9._-]+\b"
 LONGEST_RUN = 6
+# Where the city is named, the name of the person that it is called after is not the person.
+SUPPRESSED = (("thanh pho ho chi minh", "LOCATION", "ho chi minh"),)
 
-_WORD = re.compile(r"[^\W\d_]+(?:[-'][^\W\d_]+)*")
-_TRIM = " .,:;!?()[]{}\"'"
+# A word of letters, also joined by hyphens or apostrophes, whose first letter alone need be a capital (not all of them are);
+# or a known organisation however written; neighbours with nothing but blanks between them make a name.
+_LETTERS = r"\p{L}+(?:[-']\p{L}+)*"
+_CAPITALISED = r"(?=[\p{L}'-]*[\p{Ll}\p{Lo}])\p{Lu}\p{L}*(?:[-']\p{L}+)*"
+_NAME = rf"(?:{_CAPITALISED}|(?i:{'|'.join(sorted(KNOWN_ORGS))})(?![-']?\p{{L}}))"
+RUN = rf"(?U)(?<!\p{{L}})(?<!\p{{L}}[-']){_NAME}(?:\s+{_NAME})*"
+
+
+def _found(text: Column, pattern: str) -> Column:
+    return F.coalesce(F.regexp_extract_all(text, F.lit(f"({pattern})")), F.array().cast("array<string>"))
 
 
 def pattern_entities(docs: DataFrame, text: str, pattern: str, kind: str, id: str = "document_id") -> DataFrame:
-    """``id, entity_text, entity_type`` of a pattern's matches, each once in a document; stays in the JVM."""
-    found = F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"({pattern})"))))
+    """``id, entity_text, entity_type`` of a pattern's matches, each once in a document; letters of all scripts bound words."""
+    found = F.explode(F.array_distinct(_found(F.col(text), "(?U)" + pattern)))
     return docs.select(id, found.alias("entity_text")).withColumn("entity_type", F.lit(kind))
 
 
-def _trimmed(value: str) -> str:
-    return " ".join(value.split()).strip(_TRIM)
-
-
-def _type_of(name: str, context: str) -> str:
-    low = name.casefold()
-    for kind, prefixes in PREFIXES.items():
-        if any(prefix + low in context for prefix in prefixes):
-            return kind
-    return "ORG" if low in KNOWN_ORGS or (name.isupper() and len(name) <= 12) else "MISC"
-
-
-def _runs(text: str) -> Iterator[str]:
-    """Runs of title-case words or known organisations with only blanks between them, the first six words of each."""
-    run: list[str] = []
-    end = 0
-    for word in _WORD.finditer(text):
-        w = word.group()
-        fits = (w[0].isupper() and not w.isupper()) or w.casefold() in KNOWN_ORGS
-        if run and not (fits and text[end : word.start()].isspace()):
-            yield " ".join(run[:LONGEST_RUN])
-            run = []
-        if fits:
-            run.append(w)
-        end = word.end()
-    if run:
-        yield " ".join(run[:LONGEST_RUN])
-
-
-def rule_entities_of(text: str) -> list[tuple[str, str]]:
-    """(text, type) by rules in the order email, URL, acronym, capitalised run; the first of equal ones counts."""
-    context = text.casefold()
-    found = [(m.group(), "EMAIL") for m in re.finditer(EMAIL, text)] + [(m.group().rstrip(".,;"), "URL") for m in re.finditer(URL, text)]
-    found += [(m.group(), _type_of(m.group(), context)) for m in re.finditer(ACRONYM, text)]
-    for run in map(_trimmed, _runs(text)):
-        low = run.casefold()
-        if low and low not in PHRASES and (" " in low or low in KNOWN_ORGS):
-            found.append((run, _type_of(run, context)))
-    out: dict[tuple[str, str], tuple[str, str]] = {}
-    for value, kind in found:
-        value = _trimmed(value)
-        if len(value) >= 2:
-            out.setdefault((value.casefold(), kind), (value, kind))
-    return list(out.values())
+def entity_type(name: Column, context: Column) -> Column:
+    """The type that a word before the name tells (``context`` is the lower-case text), else ORG for a known organisation or
+    a short name in capitals, else MISC."""
+    low = F.lower(name)
+    told = F.lit(None).cast("string")
+    for kind, prefixes in reversed(PREFIXES.items()):
+        told = F.when(reduce(lambda a, b: a | b, [F.contains(context, F.concat(F.lit(p), low)) for p in prefixes]), kind).otherwise(told)
+    capitals = (F.length(name) <= 12) & (F.upper(name) == name) & (low != name)
+    return F.coalesce(told, F.when(low.isin(*KNOWN_ORGS) | capitals, "ORG").otherwise("MISC"))
 
 
 def rule_entities(docs: DataFrame, text: str = "combined_text", id: str = "document_id") -> DataFrame:
-    """``id, ordinal, entity_text, entity_type, source, score`` of the rule entities of whole texts, in Arrow batches."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(k, n, *e) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t for n, e in enumerate(rule_entities_of(t))]
-            kinds = [batch.schema.types[0], pa.int32(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=[id, "ordinal", "entity_text", "entity_type"])
+    """``id, ordinal, entity_text, entity_type, source, score`` of the rule entities of whole texts, within the JVM.
 
-    kind = docs.schema[id].dataType.simpleString()
-    out = docs.select(id, text).mapInArrow(run, f"{id} {kind}, ordinal int, entity_text string, entity_type string")
-    return out.withColumn("source", F.lit("rules")).withColumn("score", F.lit(None).cast("double"))
+    In the order of the rules: addresses of mail and of pages, words in capitals, runs of capitalised words (their first six
+    words; a single one only if it is a known organisation, and no stock phrases). Of equal names of one type the first counts.
+    """
+    t = F.coalesce(F.col(text), F.lit(""))
+    context = F.lower(t)
+    typed = lambda kind: lambda x: F.struct(x.alias("name"), F.lit(kind).alias("kind"))
+    named = lambda x: F.struct(x.alias("name"), entity_type(x, F.col("__context")).alias("kind"))
+    runs = F.transform(_found(t, RUN), lambda r: F.array_join(F.slice(F.split(trimmed_entity(r), " "), 1, LONGEST_RUN), " "))
+    runs = F.filter(runs, lambda r: ~F.lower(r).isin(*PHRASES) & (F.contains(r, F.lit(" ")) | F.lower(r).isin(*KNOWN_ORGS)))
+    rows = docs.select(id, context.alias("__context"), _found(t, "(?U)" + EMAIL).alias("__mail"), F.transform(_found(t, URL), lambda u: F.regexp_replace(u, "[.,;]+$", "")).alias("__page"),
+                       F.concat(_found(t, "(?U)" + ACRONYM), runs).alias("__names"))
+    every = F.concat(F.transform("__mail", typed("EMAIL")), F.transform("__page", typed("URL")), F.transform("__names", named))
+    every = F.filter(F.transform(every, lambda e: F.struct(trimmed_entity(e["name"]).alias("name"), e["kind"].alias("kind"))), lambda e: F.length(e["name"]) >= 2)
+    once = X.first_by_key(every, lambda e: F.concat(F.lower(e["name"]), F.lit("\n"), e["kind"]))
+    out = rows.select(id, F.posexplode(once).alias("ordinal", "e"))
+    return out.select(id, "ordinal", F.col("e.name").alias("entity_text"), F.col("e.kind").alias("entity_type"), F.lit("rules").alias("source"), F.lit(None).cast("double").alias("score"))
 
 
 def trimmed_entity(value: Column) -> Column:
@@ -112,28 +93,24 @@ def alias_dimension(records: DataFrame) -> DataFrame:
     return out.filter("canonical_key <> '' and alias_key <> ''").distinct()
 
 
-def phrases(tokens: Column, longest: int) -> Column:
-    """All distinct runs of 1 to ``longest`` neighbouring tokens, joined by blanks."""
-    runs = lambda n: F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " ")))
-    return F.array_distinct(F.flatten(F.array_compact(F.array(*[runs(n) for n in range(1, longest + 1)]))))
-
-
-def alias_hits(docs: DataFrame, aliases: DataFrame, text: str = "combined_text", id: str = "document_id", longest: int = 5) -> DataFrame:
+def alias_hits(docs: DataFrame, aliases: DataFrame, text: str = "combined_text", id: str = "document_id", longest: int = 2) -> DataFrame:
     """``id, canonical, canonical_key, entity_type, alias, alias_key`` of aliases that occur as whole words in a text.
 
-    The containment join as an equi-join: phrases of up to ``longest`` tokens meet the first ``longest`` tokens of an
-    alias; longer aliases are then checked in full.
+    The containment join as an equi-join on an alias's first ``longest`` words (all of a shorter one): what a text offers are
+    its runs of up to so many words, and only those that begin some alias go on; longer aliases are then compared with the
+    words that follow the place. An alias's length does not matter.
     """
-    key = F.array_join(F.slice(F.split("alias_key", " "), 1, longest), " ")
-    dim = aliases.withColumn("first", key)
-    padded = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    words = docs.select(id, X.tokens(F.col(text)).alias("words"))
-    long_names = dim.filter(F.size(F.split("alias_key", " ")) > longest)
-    met = words.select(id, F.explode(phrases(F.col("words"), longest)).alias("first")).join(dim, "first")
-    columns = [id, "canonical", "canonical_key", "entity_type", "alias", "alias_key"]
-    short = met.join(long_names.select("alias_key", "canonical", "entity_type"), ["alias_key", "canonical", "entity_type"], "left_anti").select(*columns)
-    full = met.join(long_names.select("alias_key", "canonical", "entity_type"), ["alias_key", "canonical", "entity_type"], "left_semi").join(words, id)
-    return short.unionByName(full.filter(F.contains(padded, F.concat(F.lit(" "), F.col("alias_key"), F.lit(" ")))).select(*columns)).distinct()
+    words_of = F.split("alias_key", " ")
+    dim = aliases.withColumn("n", F.size(words_of)).withColumn("first", F.array_join(F.slice(words_of, 1, longest), " "))
+    tokens = docs.select(id, X.tokens(F.col(text)).alias("t")).filter("size(t) > 0")
+    runs = lambda n: F.transform("t", lambda _, i: F.struct(F.when(i + n <= F.size("t"), F.array_join(F.slice("t", i + 1, n), " ")).alias("first"), i.alias("at")))
+    starts = F.concat(*[runs(n) for n in range(1, longest + 1)])
+    # one row for each beginning of an alias, with the number of words that the longest alias of that beginning needs
+    begins = dim.groupBy("first").agg(F.max("n").alias("longest"))
+    met = tokens.select(id, "t", F.explode(starts).alias("s")).filter("s.first is not null").select(id, "s.first", "s.at", "t").join(begins, "first")
+    met = met.select(id, "first", F.array_join(F.slice("t", F.col("at") + 1, F.col("longest")), " ").alias("here")).distinct()
+    hits = met.join(dim, "first").filter(F.startswith(F.concat("here", F.lit(" ")), F.concat("alias_key", F.lit(" "))))
+    return hits.select(id, "canonical", "canonical_key", "entity_type", "alias", "alias_key").distinct()
 
 
 def canonicalize(entities: DataFrame, aliases: DataFrame, id: str = "document_id") -> DataFrame:
@@ -149,14 +126,17 @@ def canonicalize(entities: DataFrame, aliases: DataFrame, id: str = "document_id
     return named.withColumn("n", first).filter("n = 1").select(id, "canonical", "canonical_key", "entity_type", F.col("entity_text").alias("matched_text"), "source", "score")
 
 
-def document_entities(docs: DataFrame, aliases: DataFrame, text: str = "combined_text", id: str = "document_id", suppress: DataFrame | None = None) -> DataFrame:
-    """Rule entities and alias hits of each text in canonical form.
+def document_entities(docs: DataFrame, aliases: DataFrame, text: str = "combined_text", id: str = "document_id", suppress: DataFrame | None = None, listed: DataFrame | None = None) -> DataFrame:
+    """Rule entities, ``listed`` ones (see :func:`listed_entities`) and alias hits of each text in canonical form.
 
     ``suppress`` has ``winner_key, winner_type, loser_key``: where the winner is present, entities of the loser's key and
     another type are dropped (a city named after a person, say).
     """
     hits = alias_hits(docs, aliases, text, id).select(id, F.lit(1_000_000).alias("ordinal"), F.col("alias").alias("entity_text"), "entity_type", F.lit("alias").alias("source"), F.lit(1.0).alias("score"))
-    out = canonicalize(rule_entities(docs, text, id).unionByName(hits), aliases, id)
+    found = rule_entities(docs, text, id)
+    if listed is not None:
+        found = found.unionByName(listed.withColumn("ordinal", F.col("ordinal") + 500_000))
+    out = canonicalize(found.unionByName(hits), aliases, id)
     if suppress is not None:
         winners = out.join(suppress, (out.canonical_key == suppress.winner_key) & (out.entity_type == suppress.winner_type)).select(id, F.col("loser_key").alias("canonical_key"), F.col("winner_type").alias("kept"))
         out = out.join(winners.distinct(), [id, "canonical_key"], "left").filter("kept is null or entity_type = kept").drop("kept")
@@ -169,6 +149,11 @@ def listed_entities(docs: DataFrame, id: str = "document_id") -> DataFrame:
     return e.select(id, "ordinal", F.col("e.text").alias("entity_text"), F.upper("e.type").alias("entity_type"), F.lit("model").alias("source"), F.lit(0.9).alias("score")).filter("length(entity_text) >= 2")
 
 
+def suppressed(spark: SparkSession) -> DataFrame:
+    """The rows of :data:`SUPPRESSED` for :func:`document_entities`."""
+    return spark.createDataFrame(list(SUPPRESSED), "winner_key string, winner_type string, loser_key string")
+
+
 def query_entity_keys(queries: DataFrame, aliases: DataFrame) -> DataFrame:
     """``query_id, canonical_key``: aliases contained in the query; and its rule entities, by alias or, from two words on, as they are."""
     hits = alias_hits(queries, aliases, "query", "query_id").select("query_id", "canonical_key")

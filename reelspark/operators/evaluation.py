@@ -16,9 +16,9 @@ def stratified(docs: DataFrame, count: int) -> DataFrame:
     """``count`` documents taken round by round from every video in turn, with ``n`` from 1.
 
     A video gives in round r its document at place floor((r + 1) x size / (rounds + 1)) by time, so a video with few
-    documents can give one twice. The number of rounds is ``count`` over the number of videos, rounded up.
+    documents can give one twice; an unknown time comes first, documents without video are left out. The number of rounds is ``count`` over the number of videos, rounded up.
     """
-    by = Window.partitionBy("video_id")
+    docs, by = docs.filter("video_id is not null"), Window.partitionBy("video_id")
     placed = docs.withColumn("place", F.row_number().over(by.orderBy("start_seconds", "document_id")) - 1).withColumn("size", F.count(F.lit(1)).over(by))
     rounds = docs.agg(F.ceil(F.lit(count) / F.greatest(F.countDistinct("video_id"), F.lit(1))).cast("bigint").alias("rounds"))
     turns = placed.select("video_id", "size").distinct().crossJoin(F.broadcast(rounds))  # one row
@@ -68,6 +68,11 @@ def violations(queries: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
+def reviewed(queries: DataFrame) -> DataFrame:
+    """The queries that a person has reviewed."""
+    return queries.filter(F.coalesce("reviewed", F.lit(False)))
+
+
 def query_metrics(runs: DataFrame, queries: DataFrame, rank: str = "rank", id: str = "document_id") -> DataFrame:
     """``mode, query_id, first_relevant_rank, recall_at_5, recall_at_10, reciprocal_rank`` of each mode and labelled query.
 

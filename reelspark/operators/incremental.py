@@ -1,11 +1,13 @@
-"""Index tables of scene documents, built whole or brought up to date for some videos."""
+"""Index tables of scene and keyframe documents, built whole or brought up to date for some videos."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from reelspark.operators import documents as D
 from reelspark.operators import entities as E
 from reelspark.operators import lexical as L
 
@@ -20,22 +22,37 @@ class Index:
     norms: DataFrame
     entities: DataFrame
     aliases: DataFrame
+    #: ``term, document_id, f, dl`` (weighted frequency, length) and one row ``n, avgdl``; without them BM25 reads the texts
+    postings: DataFrame | None = None
+    totals: DataFrame | None = None
 
 
 def _statistics(documents: DataFrame, terms: DataFrame, entities: DataFrame, aliases: DataFrame) -> Index:
     idf = L.idf_stats(terms)
-    return Index(documents, terms, idf, L.document_norms(terms, idf), entities, aliases)
+    postings = L.postings(documents)
+    return Index(documents, terms, idf, L.document_norms(terms, idf), entities, aliases, postings, L.corpus_totals(documents))
+
+
+def found_entities(documents: DataFrame, aliases: DataFrame) -> DataFrame:
+    """The entities of documents: by rules and aliases in their texts, and those that they list (a model's), in canonical form."""
+    listed = E.listed_entities(documents) if "entities" in documents.columns else None
+    return E.document_entities(documents, aliases, suppress=E.suppressed(documents.sparkSession), listed=listed)
 
 
 def build(docs: DataFrame, aliases: DataFrame) -> Index:
     """The whole index from documents (insert-or-replace by ``document_id``) and alias records."""
     documents, dim = L.latest_documents(docs), E.alias_dimension(aliases)
-    found = E.canonicalize(E.listed_entities(documents), dim)
-    return _statistics(documents, L.term_frequencies(documents), found, dim)
+    return _statistics(documents, L.term_frequencies(documents), found_entities(documents, dim), dim)
+
+
+def build_levels(scene_docs: DataFrame, aliases: DataFrame) -> dict[str, Index]:
+    """An index of scene documents (:func:`documents.scene_documents`) and one of their keyframes."""
+    stamped = lambda df: df.withColumn("generated_at", F.lit(None).cast("string")).withColumn("doc_id", F.lit(0).cast("bigint")).withColumn("entities_text", F.lit(""))
+    return {"scene": build(stamped(scene_docs), aliases), "keyframe": build(stamped(D.keyframe_documents(scene_docs)), aliases)}
 
 
 def remove_videos(index: Index, videos: DataFrame) -> Index:
-    """The index without the documents of ``videos`` (``video_id``): anti-joins over both levels, statistics made anew."""
+    """The index without the documents of ``videos`` (``video_id``): anti-joins, statistics made anew. Null videos name none."""
     gone = index.documents.join(videos.select("video_id").distinct(), "video_id", "left_semi").select("document_id")
     less = lambda df: df.join(gone, "document_id", "left_anti")
     return _statistics(less(index.documents), less(index.terms), less(index.entities), index.aliases)
@@ -45,7 +62,7 @@ def update(index: Index, changed: DataFrame) -> Index:
     """The index with all documents of the changed videos replaced by ``changed``; equal to a whole build on the result."""
     documents = L.latest_documents(changed)
     rest = remove_videos(index, documents.select("video_id"))
-    found = E.canonicalize(E.listed_entities(documents), index.aliases)
     return _statistics(
-        rest.documents.unionByName(documents, allowMissingColumns=True), rest.terms.unionByName(L.term_frequencies(documents)), rest.entities.unionByName(found), index.aliases
-    )
+        rest.documents.unionByName(documents, allowMissingColumns=True), rest.terms.unionByName(L.term_frequencies(documents)),
+        rest.entities.unionByName(found_entities(documents, index.aliases)), index.aliases,
+    )

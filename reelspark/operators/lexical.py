@@ -60,39 +60,59 @@ def tfidf_search(tf: DataFrame, idf: DataFrame, norms: DataFrame, queries: DataF
     return ranked(scored, [F.desc("tfidf_score"), id], limit, "tfidf_rank")
 
 
-def bm25_scores(docs: DataFrame, queries: DataFrame, weights: dict[str, float] | None = None, id: str = "document_id", k1: float = 1.2, b: float = 0.75) -> DataFrame:
+def _weighed_terms(docs: DataFrame, weights: dict[str, float], id: str, terms: DataFrame | None = None) -> DataFrame:
+    """``term, id, f, dl``: each document's terms (of ``terms`` only, if given) with their weighted frequency and its length."""
+    words = docs.select(id, *[X.tokens(F.col(f)).alias(f) for f in weights]).withColumn("dl", reduce(lambda a, c: a + c, [F.size(f) for f in weights]))
+    fields = F.array(*[F.struct(F.lit(w).alias("w"), F.col(f).alias("t")) for f, w in weights.items()])
+    each = words.select(id, "dl", F.explode(fields).alias("f")).select(id, "dl", F.col("f.w").alias("w"), F.explode("f.t").alias("term"))
+    if terms is not None:
+        each = each.join(terms, "term")
+    return each.groupBy("term", id, "dl").agg(F.sum("w").alias("f"))
+
+
+def postings(docs: DataFrame, weights: dict[str, float] | None = None, id: str = "document_id") -> DataFrame:
+    """``term, id, f, dl`` of every document and term, to be stored in order of term: a search then reads its terms alone."""
+    return _weighed_terms(docs, weights or FIELD_WEIGHTS, id).select("term", id, "f", "dl")
+
+
+def corpus_totals(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """One row ``n, avgdl``: the number of documents and their mean length in tokens."""
+    length = reduce(lambda a, c: a + c, [F.size(X.tokens(F.col(f))) for f in weights or FIELD_WEIGHTS])
+    return docs.select(length.alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+
+
+def bm25_by_postings(hits: DataFrame, totals: DataFrame, asked: DataFrame, id: str = "document_id", k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """``query_id, id, bm25_score`` from the postings of the asked terms (``query_id, term``)."""
+    df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    f, dl = F.col("f"), F.col("dl")
+    part = S.bm25_idf(F.col("df"), F.col("n")) * f * (k1 + 1) / (f + k1 * (1 - b + b * dl / F.col("avgdl")))
+    weighed = hits.join(df, "term").crossJoin(F.broadcast(totals)).select("term", id, part.alias("part"))  # totals is one row
+    return weighed.join(asked, "term").groupBy("query_id", id).agg(F.round(-F.sum("part"), 9).alias("bm25_score"))
+
+
+def bm25_scores(docs: DataFrame, queries: DataFrame, weights: dict[str, float] | None = None, id: str = "document_id", k1: float = 1.2, b: float = 0.75, stored: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
     """``query_id, id, bm25_score`` of every document with a query term in any field; the more negative the better.
 
     A term's frequency is the weighted sum over the fields, its document frequency counts rows with it in any field, and
-    a row's length is its number of tokens over all fields. Only the query's terms are ever shuffled.
+    a row's length is its number of tokens over all fields. Only the query's terms are ever shuffled; with ``stored``
+    postings and ``totals`` no text is read.
     """
-    weights = weights or FIELD_WEIGHTS
-    words = docs.select(id, *[X.tokens(F.col(f)).alias(f) for f in weights])
-    length = reduce(lambda a, c: a + c, [F.size(f) for f in weights])
-    words = words.withColumn("dl", length)
-    total = words.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
     asked = terms_of_queries(queries, True).select("query_id", "term")
-    fields = F.array(*[F.struct(F.lit(w).alias("w"), F.col(f).alias("t")) for f, w in weights.items()])
-    hits = (
-        words.select(id, "dl", F.explode(fields).alias("f")).select(id, "dl", F.col("f.w").alias("w"), F.explode("f.t").alias("term"))
-        .join(asked.select("term").distinct(), "term").groupBy(id, "dl", "term").agg(F.sum("w").alias("f"))
-    )
-    df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    f, dl = F.col("f"), F.col("dl")
-    part = S.bm25_idf(F.col("df"), F.col("n")) * f * (k1 + 1) / (f + k1 * (1 - b + b * dl / F.col("avgdl")))
-    return (
-        hits.join(df, "term").crossJoin(F.broadcast(total)).join(asked, "term")  # total is one row
-        .groupBy("query_id", id).agg(F.round(-F.sum(part), 9).alias("bm25_score"))
-    )
+    terms = asked.select("term").distinct()
+    if stored is not None and totals is not None:
+        hits = stored.join(terms, "term")
+    else:
+        hits, totals = _weighed_terms(docs, weights or FIELD_WEIGHTS, id, terms), corpus_totals(docs, weights)
+    return bm25_by_postings(hits, totals, asked, id, k1, b)
 
 
-def bm25_search(docs: DataFrame, queries: DataFrame, limit: int = 50, entity_hits: DataFrame | None = None, id: str = "document_id", text: str = "combined_text") -> DataFrame:
+def bm25_search(docs: DataFrame, queries: DataFrame, limit: int = 50, entity_hits: DataFrame | None = None, id: str = "document_id", text: str = "combined_text", stored: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
     """``query_id, id, bm25_score, entity_hit, overlap, bm25_rank``.
 
     The best 4 x ``limit`` by score are put in the order: matched by a query entity (``entity_hits``: ``query_id, id``),
     then more distinct query terms in the text, then the better score, then the id.
     """
-    wide = ranked(bm25_scores(docs, queries, id=id), ["bm25_score", id], 4 * limit, "by_score")
+    wide = ranked(bm25_scores(docs, queries, id=id, stored=stored, totals=totals), ["bm25_score", id], 4 * limit, "by_score")
     asked = queries.select("query_id", X.query_terms(F.col("query")).alias("qt"))
     wide = wide.join(docs.select(id, F.col(text).alias("__text")), id).join(asked, "query_id")
     wide = wide.withColumn("overlap", F.size(F.array_intersect("qt", X.tokens(F.col("__text")))))
@@ -105,7 +125,8 @@ def bm25_search(docs: DataFrame, queries: DataFrame, limit: int = 50, entity_hit
     return out.select("query_id", id, "bm25_score", "entity_hit", "overlap", "bm25_rank")
 
 
-def match_any(docs: DataFrame, queries: DataFrame, id: str = "document_id", text: str = "combined_text") -> DataFrame:
-    """``query_id, id`` of the documents with any of a query's terms."""
-    words = docs.select(id, F.explode(F.array_distinct(X.tokens(F.col(text)))).alias("term"))
+def match_any(docs: DataFrame, queries: DataFrame, id: str = "document_id", fields: tuple[str, ...] = tuple(FIELD_WEIGHTS)) -> DataFrame:
+    """``query_id, id`` of the documents with any of a query's terms in any of the indexed fields."""
+    every = F.array_distinct(F.flatten(F.array(*[F.coalesce(X.tokens(F.col(f)), F.array().cast("array<string>")) for f in fields])))
+    words = docs.select(id, F.explode(every).alias("term"))
     return words.join(terms_of_queries(queries, True).select("query_id", "term"), "term").select("query_id", id).distinct()

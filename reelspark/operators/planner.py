@@ -15,6 +15,10 @@ SEMANTIC_WORDS = tuple("khac giong tai sao vi nhu the nao giai thich tom tat noi
 EXACT_WORDS = tuple("viet ghi hien thi chu dong cau cum tu logo bien bang ocr".split())
 
 
+#: The most hits that a request may ask for.
+MOST = 1000
+
+
 @dataclass(frozen=True)
 class SearchSettings:
     """Defaults of a search; a plan may change them."""
@@ -40,6 +44,9 @@ class SearchSettings:
         bad = [k for k, v in body.items() if k != "query" and (k not in known or not isinstance(v, (int, float) if known[k] is float else known[k]))]
         if bad:
             raise ValueError(f"unknown or ill-typed settings: {sorted(bad)}")
+        wide = [k for k in ("limit", "candidate_limit", "rerank_top") if not 1 <= body.get(k, 1) <= MOST]
+        if wide:
+            raise ValueError(f"must be from 1 to {MOST}: {wide}")
         return replace(self, **{k: v for k, v in body.items() if k != "query"})
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from reelspark.operators import vectors as V
 from reelspark.operators.incremental import Index
 from reelspark.operators.planner import SearchSettings
 
+Levels = dict[str, Index]
+
 
 def embed_queries(queries: DataFrame, dimension: int, provider: str = "hashing") -> DataFrame:
     """``query_id, vector`` with the deterministic hashing embedding; other providers plug in here."""
@@ -28,7 +30,7 @@ def retrieve(index: Index, queries: DataFrame, settings: SearchSettings, cache:
     out = {}
     if settings.mode in ("bm25", "hybrid"):
         flagged = index.entities.join(keys, "canonical_key").select("query_id", "document_id").distinct()
-        hits = L.bm25_search(index.documents, queries, limit, flagged)
+        hits = L.bm25_search(index.documents, queries, limit, flagged, stored=index.postings, totals=index.totals)
         out["bm25"] = hits.select("query_id", "document_id", F.col("bm25_rank").alias("rank"), F.col("bm25_score").alias("score"))
     if settings.mode == "tfidf":
         hits = L.tfidf_search(index.terms, index.idf, index.norms, queries, limit)
@@ -42,25 +44,56 @@ def retrieve(index: Index, queries: DataFrame, settings: SearchSettings, cache:
     return out
 
 
-def search(index: Index, queries: DataFrame, settings: SearchSettings | None = None, cache: DataFrame | None = None, query_vectors: DataFrame | None = None, reranker: U.Reranker | None = None, keyframes: DataFrame | None = None) -> DataFrame:
-    """``query_id, document_id, video_id, scene_id, start_seconds, final_score, final_rank, passage``, best first.
+def with_overlap(merged: DataFrame, entities: DataFrame, keys: DataFrame) -> DataFrame:
+    """``merged`` with ``entity_overlap``: how many of the query's entities the document has, whichever list it came from."""
+    own = merged.select("query_id", "document_id").join(entities.select("document_id", "canonical_key").distinct(), "document_id").join(keys, ["query_id", "canonical_key"])
+    own = own.groupBy("query_id", "document_id").agg(F.count(F.lit(1)).cast("int").alias("__own"))
+    out = merged.join(own, ["query_id", "document_id"], "left")
+    return out.withColumn("entity_overlap", F.greatest(F.coalesce("__own", F.lit(0)), F.coalesce("entity_overlap", F.lit(0)))).drop("__own")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    ``reranker`` None skips reranking; :func:`fusion.overlap_reranker` is the deterministic stand-in for a model. A list
-    that is missing takes no part in the fusion. Wide columns are joined only to the few rows that are left.
+
+def search(
+    index: Index | Levels, queries: DataFrame, settings: SearchSettings | None = None, cache: DataFrame | dict[str, DataFrame] | None = None, query_vectors: DataFrame | None = None,
+    reranker: U.Reranker | None = None, keyframes: DataFrame | None = None,
+) -> DataFrame:
+    """``query_id, document_id, video_id, scene_id, start_seconds, final_score, final_rank, passage, level``, best first.
+
+    ``index`` and ``cache`` are one level's or a mapping of levels; with several the lists of the levels that the settings name
+    (``both``: all) are fused, reranked and thinned out together. ``reranker`` None skips reranking;
+    :func:`fusion.overlap_reranker` is the deterministic stand-in for a model. A list that is missing takes no part in the
+    fusion, but a search by vectors alone without them is an error, as is TF-IDF on keyframes. Wide columns are joined only
+    to the few rows that are left.
     """
     s = settings or SearchSettings()
-    lists = retrieve(index, queries, s, cache, query_vectors)
+    levels = index if isinstance(index, dict) else {s.level if s.level != "both" else "scene": index}
+    chosen = {k: v for k, v in levels.items() if s.level in (k, "both")}
+    if not chosen:
+        raise ValueError(f"no index of the level {s.level}")
+    caches = cache if isinstance(cache, dict) else dict.fromkeys(chosen, cache)
+    if s.mode == "semantic" and (query_vectors is None or all(caches.get(k) is None for k in chosen)):
+        raise ValueError("a search by vectors needs a cache of vectors and the queries' vectors")
+    if s.mode == "tfidf" and s.level != "scene":
+        raise ValueError("TF-IDF is for scenes")
+    found = [retrieve(ix, queries, s, caches.get(level), query_vectors) for level, ix in chosen.items()]
+    lists = {name: _union([f[name] for f in found if name in f]) for name in {n for f in found for n in f}}
     for name in ("bm25", "semantic", "entity"):
         if name not in lists:
             lists[name] = queries.select("query_id", F.lit(None).cast("string").alias("document_id"), F.lit(None).cast("int").alias("rank"), F.lit(None).cast("double").alias("score")).filter("false")
     weights = {"bm25": s.bm25_weight, "semantic": s.semantic_weight, "entity": s.entity_weight}
     merged = U.merge_hits(lists)
     if s.mode == "hybrid":
+        keys = E.query_entity_keys(queries, next(iter(chosen.values())).aliases)
+        merged = with_overlap(merged, _union([ix.entities for ix in chosen.values()]), keys)
         hits = U.hybrid_rank(merged, weights, s.rrf_k, s.candidate_limit)
     else:
         scored = merged.withColumn("final_score", F.round(U.single_mode_score(s.mode, s.rrf_k), 9))
         hits = L.ranked(scored, [F.desc("final_score"), "document_id"], s.candidate_limit, "final_rank")
-    wide = index.documents.select("document_id", "video_id", "scene_id", "start_seconds", "subtitle_text", "combined_text")
+    columns = ["document_id", "video_id", "scene_id", "start_seconds", "subtitle_text", "combined_text"]
+    wide = _union([ix.documents.select(*columns, F.lit(level).alias("level")) for level, ix in chosen.items()])
     hits = hits.select("query_id", "document_id", "final_score", "final_rank", "entity_overlap").join(wide, "document_id")
     if keyframes is not None:
         hits = hits.join(U.best_passages(hits, keyframes, queries).select("query_id", "document_id", "matched_passage"), ["query_id", "document_id"])
@@ -73,16 +106,11 @@ def search(index: Index, queries: DataFrame, settings: SearchSettings | None = N
         pairs = pairs.filter(F.col("final_rank") <= s.rerank_top).withColumn("reranker_score", reranker(F.col("query"), F.col("matched_passage"))).withColumn("coverage", coverage)
         blended = U.rerank_blend(pairs, s.rerank_top, s.rerank_min_final, s.rerank_max_drop)
         hits = blended.select("query_id", "document_id", "final_score", F.col("rerank_rank").alias("final_rank")).join(hits.drop("final_score", "final_rank"), ["query_id", "document_id"])
-    thin = hits.select("query_id", "document_id", "video_id", "scene_id", F.coalesce("start_seconds", F.lit(0.0)).alias("start_seconds"), "final_score", "final_rank", X.snippet(F.col("matched_passage")).alias("passage"), X.index_terms(F.coalesce(F.expr("nullif(matched_passage, '')"), "combined_text")).alias("terms"))
+    thin = hits.select("query_id", "document_id", "video_id", "scene_id", F.coalesce("start_seconds", F.lit(0.0)).alias("start_seconds"), "final_score", "final_rank", X.snippet(F.col("matched_passage")).alias("passage"), X.index_terms(F.coalesce(F.expr("nullif(matched_passage, '')"), "combined_text")).alias("terms"), "level")
     kept = U.temporal_dedup(thin, s.dedupe_seconds)
     return L.ranked(kept.withColumnRenamed("final_rank", "__r"), ["__r", "document_id"], s.limit, "final_rank").drop("__r")
 
 
-def by_levels(settings: SearchSettings, indexes: dict[str, Index], queries: DataFrame, **kw) -> DataFrame:
-    """The union of the results of each level that the settings name (``both``: all), with the level."""
-    levels = list(indexes) if settings.level == "both" else [settings.level]
-    parts = [search(indexes[v], queries, replace(settings, level=v), **kw).withColumn("level", F.lit(v)) for v in levels]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def by_levels(settings: SearchSettings, indexes: Levels, queries: DataFrame, **kw) -> DataFrame:
+    """The search of each level that the settings name (``both``: all), fused to one ranking, with the level."""
+    return search(indexes, queries, settings, **kw)

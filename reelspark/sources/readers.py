@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspark.functions import text as X
+from reelspark.operators.incremental import Index
 
 SCENES_DDL = (
     "video_id string, video_path string, fps double, frame_size array<int>, downscale int, frame_skip int, detector string, "
@@ -40,15 +41,26 @@ def parse_item(item: Column) -> Column:
 
 
 def json_lines(spark: SparkSession, path: str, schema: str, required: bool = True, strict: bool = True) -> DataFrame:
-    """JSON lines with a fixed schema. A missing path is an error, or no rows unless ``required``.
+    """JSON lines with a fixed schema, a byte-order mark at the beginning or not. A missing path is an error, or no rows unless
+    ``required``.
 
-    ``strict`` fails at the first malformed line; otherwise such lines come with ``_corrupt_record`` and nulls.
+    ``strict`` fails at a malformed line and names it by its number; otherwise such lines come with ``_corrupt_record`` and nulls.
+    Lines are numbered where one is malformed only: a file is then read as one text.
     """
     if not required and not exists(spark, path):
         return spark.createDataFrame([], schema)
-    if strict:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return spark.read.schema(schema + ", _corrupt_record string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    lines = spark.read.text(path).select(F.regexp_replace("value", "^\\uFEFF", "").alias("value")).filter("trim(value) <> ''")
+    fields = spark.createDataFrame([], schema).schema
+    parse = lambda c: F.from_json(c, schema + ", _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = lines.select("value", parse("value").alias("r"))
+    if not strict:
+        return parsed.select(*[F.col("r")[f.name].alias(f.name) for f in fields], F.col("r._corrupt_record").alias("_corrupt_record"))
+    if not parsed.filter("r._corrupt_record is not null").isEmpty():
+        whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("n", "value"))
+        bad = whole.select("file", "n", F.regexp_replace("value", "^\\uFEFF", "").alias("value")).filter("trim(value) <> ''").select("file", "n", "value", parse("value").alias("r"))
+        first = bad.filter("r._corrupt_record is not null").orderBy("file", "n").first()
+        raise ValueError(f"{first.file}, line {first.n + 1}: malformed, no JSON object of the expected kind")
+    return parsed.select(*[F.col("r")[f.name].alias(f.name) for f in fields])
 
 
 def scene_files(spark: SparkSession, path: str) -> DataFrame:
@@ -116,12 +128,20 @@ def first_file(files: DataFrame) -> DataFrame:
 
 
 def nested_ids(info: DataFrame, entries: str = "entries", id: str = "id") -> DataFrame:
-    """The ids of a download result and of the entries of its playlists, nulls left out: ``info`` has ``id, entries array<struct<id, entries array<struct<id>>>>``."""
-    one = info.select(F.col(id).alias("video_id"), F.col(entries).alias("e1"))
-    two = one.select(F.explode("e1").alias("x")).select(F.col(f"x.{id}").alias("video_id"), F.col(f"x.{entries}").alias("e2"))
-    three = two.select(F.explode("e2").alias("x")).select(F.col(f"x.{id}").alias("video_id"))
-    leaf = lambda df, e: df.filter(F.col(e).isNull()).select("video_id")
-    return leaf(one, "e1").unionByName(leaf(two, "e2")).unionByName(three).filter("video_id is not null")
+    """The ids of a download result and of the entries of its playlists, nulls left out, however deep its type nests them:
+    ``info`` has ``id, entries array<struct<id, entries array<...>>>``; what has entries of its own counts by them only."""
+    leaves, now = [], info
+    while True:
+        deeper = entries in now.columns
+        here = now.filter(F.col(entries).isNull()) if deeper else now
+        leaves.append(here.select(F.col(id).cast("string").alias("video_id")))
+        if not deeper:
+            break
+        now = now.select(F.explode(entries).alias("x")).filter("x is not null").select("x.*")
+    out = leaves[0]
+    for leaf in leaves[1:]:
+        out = out.unionByName(leaf)
+    return out.filter("video_id is not null")
 
 
 def level_table(spark: SparkSession, root: str, level: str) -> DataFrame:
@@ -129,6 +149,17 @@ def level_table(spark: SparkSession, root: str, level: str) -> DataFrame:
     return spark.read.parquet(f"{root}/documents").filter(F.col("level") == level)
 
 
+def index_tables(spark: SparkSession, root: str, level: str = "scene") -> Index:
+    """The stored index of a level, as :func:`sinks.write_index` left it: searches over it read the postings of their terms only."""
+    of = lambda name: spark.read.parquet(f"{root}/{name}/level={level}")
+    return Index(level_table(spark, root, level), of("terms"), of("idf"), of("norms"), of("entities"), spark.read.parquet(f"{root}/aliases"), of("postings"), of("totals"))
+
+
+def index_levels(spark: SparkSession, root: str) -> dict[str, Index]:
+    """The stored indexes of all levels that there are."""
+    return {level: index_tables(spark, root, level) for level in ("scene", "keyframe") if exists(spark, f"{root}/postings/level={level}")}
+
+
 def vector_index(spark: SparkSession, root: str, level: str = "scene") -> tuple[DataFrame, DataFrame]:
     """The vectors of a level by position, and the one row that describes them."""
     return spark.read.parquet(f"{root}/vectors/level={level}"), spark.read.json(f"{root}/vectors_meta/level={level}")

@@ -29,6 +29,9 @@ def write_index(index: Index, root: str, level: str = "scene") -> None:
     index.norms.write.mode("overwrite").parquet(f"{root}/norms/level={level}")
     index.entities.repartitionByRange("canonical_key").sortWithinPartitions("canonical_key").write.mode("overwrite").parquet(f"{root}/entities/level={level}")
     index.aliases.write.mode("overwrite").parquet(f"{root}/aliases")
+    if index.postings is not None and index.totals is not None:
+        index.postings.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{root}/postings/level={level}")
+        index.totals.write.mode("overwrite").parquet(f"{root}/totals/level={level}")
 
 
 def write_vectors(cache: DataFrame, root: str, level: str = "scene") -> None:
@@ -39,11 +42,6 @@ def write_vectors(cache: DataFrame, root: str, level: str = "scene") -> None:
     meta.coalesce(1).write.mode("overwrite").json(f"{root}/vectors_meta/level={level}")
 
 
-def hit_payload(hit: Column) -> Column:
-    """A hit as the JSON that a server answers."""
-    return F.to_json(hit)
-
-
 def rendered_subtitles(blocks: DataFrame) -> DataFrame:
     """``path, content`` of translated blocks (``path, block_no, prefix, text``) in their order, blank lines between them."""
     one = F.array_join(F.concat("prefix", F.when(F.length("text") > 0, F.array("text")).otherwise(F.array().cast("array<string>"))), "\n")
