@@ -10,22 +10,23 @@ from pyspark.sql import functions as F
 from reelspark.functions import text as X
 from reelspark.operators.interval import overlap_join, point_join
 
+BBOX = "array<array<double>>"
 PREFERENCES = ("vi", "en", "vi-orig")
 
 
-def clean_cues(cues: DataFrame) -> DataFrame:
-    """Cues with clean non-empty text and an end not before the start; a null start leaves a cue out."""
-    out = cues.filter("video_id is not null and start_seconds is not null").withColumn("text", X.normalize_text(F.col("text"))).filter("length(text) > 0")
+def clean_cues(cues: DataFrame, repair: bool = True) -> DataFrame:
+    """Cues with clean (and, with ``repair``, re-encoded) non-empty text and an end not before the start; a null start leaves a cue out."""
+    out = cues.filter("video_id is not null and start_seconds is not null").withColumn("text", X.clean_text(F.col("text"), repair)).filter("length(text) > 0")
     return out.withColumn("end_seconds", F.greatest("end_seconds", "start_seconds")).withColumn("language", F.coalesce("language", F.lit("unknown")))
 
 
-def clean_ocr_lines(ocr: DataFrame, min_confidence: float = 0.5) -> DataFrame:
-    """``ocr_id, video_id, scene_id, frame_index, line_no, text, confidence, key`` of the lines that count.
+def clean_ocr_lines(ocr: DataFrame, min_confidence: float = 0.5, repair: bool = True) -> DataFrame:
+    """``ocr_id, video_id, scene_id, frame_index, line_no, text, confidence, bbox, key`` of the lines that count.
 
     A line counts with enough confidence (none counts 0) and a key that is not empty and new in its record.
     """
     rows = ocr.select("ocr_id", "video_id", "scene_id", "frame_index", F.posexplode("lines").alias("line_no", "l"))
-    rows = rows.select("ocr_id", "video_id", "scene_id", "frame_index", "line_no", X.normalize_text(F.col("l.text")).alias("text"), F.coalesce("l.confidence", F.lit(0.0)).alias("confidence"))
+    rows = rows.select("ocr_id", "video_id", "scene_id", "frame_index", "line_no", X.clean_text(F.col("l.text"), repair).alias("text"), F.coalesce("l.confidence", F.lit(0.0)).alias("confidence"), F.coalesce("l.bbox", F.array().cast(BBOX)).alias("bbox"))
     rows = rows.withColumn("key", X.normalized_key(F.col("text"))).filter((F.col("confidence") >= min_confidence) & (F.length("key") > 0))
     first = F.row_number().over(Window.partitionBy("ocr_id", "key").orderBy("line_no"))
     return rows.withColumn("n", first).filter("n = 1").drop("n")
@@ -47,7 +48,7 @@ def keyframes(ocr: DataFrame, scenes: DataFrame, lines: DataFrame, repeated: Dat
     ``timestamp_seconds`` = frame / fps, or the scene's start without fps; ``scene_local_time_seconds`` is not negative.
     """
     kept = lines.join(repeated.select("video_id", "key").withColumn("repeated", F.lit(True)), ["video_id", "key"], "left")
-    ordered = lambda cond: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("line_no", "text", "confidence")))), lambda x: F.struct(x["text"].alias("text"), x["confidence"].alias("confidence")))
+    ordered = lambda cond: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("line_no", "text", "confidence", "bbox")))), lambda x: F.struct(x["text"].alias("text"), x["confidence"].alias("confidence"), x["bbox"].alias("bbox")))
     per = kept.groupBy("ocr_id").agg(
         ordered(F.col("repeated").isNull()).alias("ocr_lines"), F.transform(ordered(F.col("repeated").isNotNull()), lambda x: x["text"]).alias("removed_repeated_ocr"),
         F.round(F.avg(F.when(F.col("repeated").isNull(), F.col("confidence"))), 6).alias("ocr_confidence_mean"),
@@ -60,9 +61,9 @@ def keyframes(ocr: DataFrame, scenes: DataFrame, lines: DataFrame, repeated: Dat
     return base.select(
         "video_id", "scene_id", "ocr_id", number.alias("keyframe_no"), "path", F.col("frame_index").alias("proxy_frame_index"),
         (F.bround(F.col("at") * source_fps).cast("bigint") if source_fps else F.lit(None).cast("bigint")).alias("source_frame_index"),
-        F.round("at", 3).alias("timestamp_seconds"), F.round(F.greatest(F.col("at") - start, F.lit(0.0)), 3).alias("scene_local_time_seconds"),
-        X.watch_url(F.col("video_id"), F.col("at")).alias("youtube_url"), F.coalesce("ocr_lines", F.array().cast("array<struct<text:string,confidence:double>>")).alias("ocr_lines"),
-        F.array_join(F.transform("ocr_lines", lambda x: x["text"]), "\n").alias("ocr_text"), "ocr_confidence_mean", F.coalesce("removed_repeated_ocr", F.array().cast("array<string>")).alias("removed_repeated_ocr"),
+        F.bround("at", 3).alias("timestamp_seconds"), F.bround(F.greatest(F.col("at") - start, F.lit(0.0)), 3).alias("scene_local_time_seconds"),
+        X.watch_url(F.col("video_id"), F.col("at")).alias("youtube_url"), F.coalesce("ocr_lines", F.array().cast("array<struct<text:string,confidence:double,bbox:array<array<double>>>>")).alias("ocr_lines"),
+        F.array_join(F.transform("ocr_lines", lambda x: x["text"]), "\n").alias("ocr_text"), "ocr_confidence_mean", F.col("at").alias("exact_seconds"), F.coalesce("removed_repeated_ocr", F.array().cast("array<string>")).alias("removed_repeated_ocr"),
     )
 
 
@@ -91,7 +92,7 @@ def preferred_text(cues: DataFrame, by: list[str], preferences: tuple[str, ...]
 
 def subtitle_tracks(cues: DataFrame, by: list[str]) -> DataFrame:
     """``by, subtitle_tracks``: language to its cues in order of time."""
-    cue = F.struct(F.round("cue_start", 3).alias("start_seconds"), F.round("cue_end", 3).alias("end_seconds"), "text", "path")
+    cue = F.struct(F.bround("cue_start", 3).alias("start_seconds"), F.bround("cue_end", 3).alias("end_seconds"), "text", "path")
     per = cues.groupBy(*by, "language").agg(F.transform(F.array_sort(F.collect_list(F.struct("cue_start", "cue_end", "cue_id", cue.alias("c")))), lambda x: x["c"]).alias("cues"))
     return per.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("language", "cues")))).alias("subtitle_tracks"))
 
@@ -112,14 +113,14 @@ def scene_documents(scenes: DataFrame, cues: DataFrame, ocr: DataFrame, min_conf
     met = scene_cues(scenes, cues)
     by = ["video_id", "scene_id"]
     local = point_join(
-        frames.select(*by, "ocr_id", F.col("timestamp_seconds").alias("at")), met.select(*by, "cue_id", "cue_start", "cue_end", "text", "language", "key"), by=by, at="at", span=("cue_start", "cue_end")
+        frames.select(*by, "ocr_id", F.col("exact_seconds").alias("at")), met.select(*by, "cue_id", "cue_start", "cue_end", "text", "language", "key", "path"), by=by, at="at", span=("cue_start", "cue_end")
     )
-    frames = frames.join(preferred_text(local, ["ocr_id"]), "ocr_id", "left")
+    frames = frames.join(preferred_text(local, ["ocr_id"]), "ocr_id", "left").join(subtitle_tracks(local, ["ocr_id"]), "ocr_id", "left")
     blocks = frames.withColumn("bkey", X.normalized_key(F.col("ocr_text"))).filter("length(bkey) > 0")
     first = F.row_number().over(Window.partitionBy(*by, "bkey").orderBy("keyframe_no"))
     scene_ocr = blocks.withColumn("n", first).filter("n = 1").groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("keyframe_no", "ocr_text"))), lambda x: x["ocr_text"]), "\n").alias("ocr_text"))
-    fields = ["keyframe_no", "path", "proxy_frame_index", "source_frame_index", "timestamp_seconds", "scene_local_time_seconds", "youtube_url", "subtitle_language", "subtitle_text", "ocr_text", "ocr_confidence_mean", "ocr_lines", "removed_repeated_ocr"]
-    nested = frames.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("keyframes"))
+    fields = ["keyframe_no", "path", "proxy_frame_index", "source_frame_index", "timestamp_seconds", "scene_local_time_seconds", "youtube_url", "subtitle_language", "subtitle_text", "subtitle_tracks", "ocr_text", "ocr_confidence_mean", "ocr_lines", "removed_repeated_ocr"]
+    nested = frames.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*fields)), lambda x, y: (x["keyframe_no"] - y["keyframe_no"]).cast("int")).alias("keyframes"))
     watermark = repeated.groupBy("video_id").agg(F.sort_array(F.collect_set("key")).alias("repeated_ocr_keys_removed"))
     out = scenes.join(preferred_text(met, by), by, "left").join(subtitle_tracks(met, by), by, "left").join(scene_ocr, by, "left").join(nested, by, "left").join(watermark, "video_id", "left")
     subtitle, text = F.coalesce("subtitle_text", F.lit("")), F.coalesce("ocr_text", F.lit(""))
