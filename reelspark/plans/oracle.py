@@ -141,9 +141,8 @@ o as (select w.query_id, w.document_id, w.bm25_score, f.document_id is not null
   from wide w join docs using (document_id) join qts using (query_id) left join flagged f on f.query_id = w.query_id and f.document_id = w.document_id),
 r as (select *, row_number() over (partition by query_id order by entity_hit desc, overlap desc, bm25_score, document_id) as bm25_rank from o)
 select query_id, document_id, round(bm25_score, 6) as bm25_score, entity_hit, overlap, bm25_rank from r where bm25_rank <= 20""",
-    "fts_match": _with(_DOCS, _SEARCHES, _QTERMS) + f"select distinct query_id, document_id from (select document_id, unnest({_tokens('combined_text')}) as term from docs) join asked using (term)",
+    "fts_match": _with(_DOCS, _SEARCHES, _QTERMS) + "select distinct query_id, document_id from (" + " union all ".join(f"select document_id, unnest({_tokens(f)}) as term from docs" for f in FIELD_WEIGHTS) + ") join asked using (term)",
     "entity_email": r"select distinct doc_id, unnest(regexp_extract_all(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b')) as entity_text, 'EMAIL' as entity_type from documents",
-    "entity_acronym": r"select distinct doc_id, w as entity_text, 'ORG' as entity_type from (select doc_id, unnest(regexp_extract_all(ocr_text, '[\p{L}\p{M}\p{N}_]+')) as w from documents) where regexp_full_match(w, '[A-Z][A-Z0-9]+')",
     "alias_dimension": _with(_ALIASES) + "select * from dim",
     "alias_containment": _with(_DOCS, _ALIASES) + f""", t as (select document_id, ' ' || {_key('combined_text')} || ' ' as padded from docs)
 select distinct document_id, alias_key, canonical_key, entity_type from t, dim where contains(padded, ' ' || alias_key || ' ')""",
@@ -154,7 +153,7 @@ select query_id, document_id, round(matched + confidence / 10, 6) as entity_scor
     "adaptive_plan": _plan_sql(),
     "vector_normalize": "with " + _UNIT_CACHE + """, l as (select c.document_id, c.model, v.v, list_dot_product(v.v, v.v) as d, c.updated_at, c.cache_id, c.provider, c.dimension from v join embeddings_cache c using (cache_id)
   where c.document_id is not null qualify row_number() over (partition by c.document_id, c.provider, c.model, c.dimension order by c.updated_at desc nulls last, c.cache_id desc) = 1)
-select document_id, model, round(sqrt(d), 5) as length, 1.0 as unit_length from l""",
+select document_id, model, dimension, i - 1 as i, round(v[i] / sqrt(d), 5) + 0.0 as x from l, unnest(range(1, len(v) + 1)) as t(i)""",
     "semantic_knn": """with e as (select vec_id, embedding::double[] as v from embeddings),
 s as (select q.vec_id as query_id, e.vec_id, round(list_dot_product(q.v, e.v) / sqrt(list_dot_product(q.v, q.v) * list_dot_product(e.v, e.v)), 9) as s from e q, e where q.vec_id % 20 = 0 and q.vec_id <> e.vec_id),
 r as (select *, row_number() over (partition by query_id order by s desc, vec_id) as place from s) select query_id, vec_id, round(s, 6) as similarity, place from r where place <= 10""",
@@ -162,7 +161,7 @@ r as (select *, row_number() over (partition by query_id order by s desc, vec_id
   from v q join v on len(q.v) = len(v.v) where q.cache_id % 20 = 0 and q.cache_id <> v.cache_id),
 r as (select *, row_number() over (partition by query_id order by s desc, cache_id) as place from s) select query_id, cache_id, round(s, 6) as similarity, place from r where place <= 5""",
     "label_centroids": """with x as (select label, vec_id, generate_subscripts(embedding, 1) as i, unnest(embedding)::double as x from embeddings),
-m as (select label, i, avg(x) as m, count(*) as n from x group by all) select label, max(n) as members, round(sqrt(sum(m * m)), 6) as centroid_length from m group by 1""",
+m as (select label, i, avg(x) as m, count(*) as n from x group by all) select label, n as members, (i - 1)::int as i, round(m, 6) + 0.0 as x from m""",
     "histogram_distance": """with e as (select vec_id, label, list_transform(embedding::double[], lambda x: abs(x)) as h from embeddings),
 p as (select a.vec_id, a.label, case when b.vec_id is null then 1.0 else sqrt(greatest(0, 1 - list_dot_product(list_transform(a.h, lambda x: sqrt(x)), list_transform(b.h, lambda x: sqrt(x))) / sqrt(list_sum(a.h) * list_sum(b.h)))) end as d
   from e a left join e b on a.label = b.label and b.vec_id % 20 = 0) select vec_id, label, round(min(d), 5) as distance from p group by all""",
@@ -185,8 +184,9 @@ where c.start_seconds is not null and s.start_seconds is not null and s.end_seco
 and s.start_seconds + o.scene_local_time_seconds between c.start_seconds and c.end_seconds""",
     "ocr_lines": _with(_LINES) + "select ocr_id, line_no, key, confidence from lines",
     "repeated_ocr_keys": _with(_LINES, _REPEATED) + "select * from repeated",
-    "keyframe_table": _with(_LINES, _REPEATED) + """, per as (select ocr_id, count(*) filter (r.key is null) as n_lines, count(*) filter (r.key is not null) as n_removed from lines l left join repeated r using (video_id, key) group by 1)
-select o.ocr_id, row_number() over (partition by o.video_id, o.scene_id order by keyframe_path nulls first, o.ocr_id) - 1 as keyframe_no, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed
+    "keyframe_table": _with(_LINES, _REPEATED) + """, per as (select ocr_id, string_agg(l.key, '|' order by line_no) filter (r.key is null) as kept, string_agg(l.key, '|' order by line_no) filter (r.key is not null) as removed, round(avg(confidence) filter (r.key is null), 6) as c
+  from lines l left join repeated r using (video_id, key) group by 1)
+select o.ocr_id, row_number() over (partition by o.video_id, o.scene_id order by keyframe_path nulls first, o.ocr_id) - 1 as keyframe_no, coalesce(kept, '') as kept, coalesce(removed, '') as removed, c as ocr_confidence_mean
 from ocr_records o join scenes s using (video_id, scene_id) left join per using (ocr_id)""",
     "clean_texts": f"select cue_id, {_clean('text')} as clean from subtitle_cues",
     "preferred_subtitles": f"""with c0 as (select cue_id, video_id, start_seconds as s, greatest(end_seconds, start_seconds) as e, {_clean('text')} as text, coalesce(language, 'unknown') as language
@@ -202,9 +202,13 @@ count(*) filter (length(combined_text) > 0) as searchable, 0.5 as min_confidence
     "search_keys": f"select cue_id, {_key('text')} as search_key, {_norm_key('nfc_normalize(text)')} as normalized_key from subtitle_cues where text is not null",
     "sentence_split": f"""with s as (select doc_id, unnest(string_split_regex(regexp_replace(text, '([.!?])\\s+', '\\1\n', 'g'), '\n+')) as s from documents where length(text) > 0),
 t as (select doc_id, trim(regexp_replace(s, '\\s+', ' ', 'g')) as sentence from s) select doc_id, sentence, len({_raw('sentence')}) as n_tokens from t where sentence <> ''""",
-    "hit_links": _with(_DOCS) + """select document_id, 'https://www.youtube.com/watch?v=' || video_id || '&t=' || greatest(floor(coalesce(start_seconds, 0)), 0)::bigint || 's' as url,
+    "chunk_packing": r"""with d as (select doc_id, list_filter(list_transform(string_split_regex(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), '\n+'), lambda s: trim(regexp_replace(s, '\s+', ' ', 'g'))), lambda s: s <> '') as items
+  from documents where length(text) > 0),
+c as (select doc_id, list_reduce(items, lambda acc, s: case when len(acc) > 0 and length(acc[-1]) + 1 + length(s) <= 600 then list_append(list_slice(acc, 1, len(acc) - 1), acc[-1] || ' ' || s) else list_append(acc, s) end, []::varchar[]) as chunks from d)
+select doc_id, (i - 1)::int as chunk_no, chunks[i] as chunk from c, unnest(range(1, len(chunks) + 1)) as t(i)""",
+    "hit_links": _with(_DOCS) + """select document_id, 'https://www.youtube.com/watch?v=' || video_id || '&t=' || greatest(round_even(coalesce(start_seconds, 0), 0), 0)::bigint || 's' as url,
 substring(regexp_replace(regexp_replace(combined_text, '(LOCAL )?SUBTITLE: |OCR: ', '', 'g'), '\\s+', ' ', 'g'), 1, 320) as snippet from docs""",
-    "stratified_sample": _with(_DOCS, _ELIGIBLE) + """, placed as (select video_id, document_id, row_number() over (partition by video_id order by start_seconds, document_id) - 1 as place, count(*) over (partition by video_id) as size from pool where start_seconds is not null),
+    "stratified_sample": _with(_DOCS, _ELIGIBLE) + """, placed as (select video_id, document_id, row_number() over (partition by video_id order by start_seconds nulls first, document_id) - 1 as place, count(*) over (partition by video_id) as size from pool where video_id is not null),
 rounds as (select ceil(60 / greatest(count(distinct video_id), 1))::bigint as r from placed),
 turns as (select video_id, round, least(floor((round + 1) * size / (r + 1))::bigint, size - 1) as place from (select distinct video_id, size from placed), rounds, unnest(range(r)) as t(round)),
 picked as (select row_number() over (order by round, video_id) as n, video_id, document_id from turns join placed using (video_id, place)) select * from picked where n <= 60""",
@@ -219,18 +223,20 @@ union all select query_id, 'unknown document ' || x as problem from (select quer
     "scene_segmentation": """with c as (select *, coalesce(abs(value - lag(value) over w) > 40, false) as cut from events where user_id is not null window w as (partition by user_id order by ts, event_id)),
 n as (select *, (sum(cut::int) over (partition by user_id order by ts, event_id))::bigint as scene_no from c)
 select user_id, scene_no, arg_min(event_id, (ts, event_id)) as first_event, count(*) as n from n group by 1, 2""",
-    "sample_frames": """with s as (select *, greatest(end_frame - start_frame, 1) as total, greatest(1, least(8, ceil(duration_seconds / 8)))::bigint as target from scenes where duration_seconds is not null),
-e as (select *, start_frame + floor(total * 0.08)::bigint as lo0, start_frame + floor(total * 0.92)::bigint - 1 as hi0 from s),
-f as (select *, case when lo0 >= hi0 then start_frame else lo0 end as lo, case when lo0 >= hi0 then greatest(end_frame - 1, start_frame) else hi0 end as hi from e),
-g as (select video_id, scene_id, case when duration_seconds < 1 then 1 else target end as target, case when duration_seconds < 1 then [start_frame] else
-  list_sort(list_distinct(list_transform(range(target * 12), lambda i: round_even(lo + (hi - lo) / (target * 12 - 1) * i, 0)::bigint))) end as frames from f)
-select video_id, scene_id, target, len(frames) as n_frames, frames[1] as first_frame, frames[-1] as last_frame from g""",
-    "frame_gate": _with(_FRAMES) + """, g as (select *, greatest(lag(sharpness) over w, lead(sharpness) over w) as around from frames window w as (partition by l_orderkey order by frame_index, sharpness)),
-m as (select *, coalesce(sharpness >= 35 and brightness between 18 and 245 and not coalesce(sharpness < around * 0.6, false), false) as ok from g),
+    "sample_frames": """with s as (select *, greatest(end_frame - start_frame, 1) as total, greatest(1, least(8, ceil(duration_seconds / 8)))::bigint as wanted from scenes where duration_seconds is not null),
+e as (select *, start_frame + floor(total * 0.10)::bigint as lo0, start_frame + floor(total * 0.90)::bigint - 1 as hi0, greatest(end_frame - 1, start_frame) as final from s),
+f as (select *, case when lo0 >= hi0 then start_frame else lo0 end as lo, case when lo0 >= hi0 then final else hi0 end as hi from e),
+g as (select video_id, scene_id, case when duration_seconds < 5 then 1 else wanted end as target, list_sort(list_distinct(case when duration_seconds < 5
+  then list_transform(range(3), lambda i: round_even(start_frame + (final - start_frame) / 2 * i, 0)::bigint)
+  else list_transform(range(wanted * 12), lambda i: round_even(lo + (hi - lo) / (wanted * 12 - 1) * i, 0)::bigint) end)) as frames from f)
+select video_id, scene_id, target, array_to_string(frames, ',') as frames from g""",
+    "frame_gate": _with(_FRAMES) + """, g as (select f.*, greatest(a.sharpness, b.sharpness) as around from frames f
+  left join frames a on a.l_orderkey = f.l_orderkey and a.frame_index = f.frame_index - 2 left join frames b on b.l_orderkey = f.l_orderkey and b.frame_index = f.frame_index + 2),
+m as (select *, coalesce(sharpness >= 35 and brightness between 25 and 235 and not coalesce(sharpness < around * 0.65, false), false) as ok from g),
 a as (select *, bool_or(ok) over (partition by l_orderkey) as any_ok from m) select l_orderkey, frame_index from a where ok or not any_ok""",
     "selection_score": _with(_FRAMES) + """, q as (select *, sharpness * (0.5 + greatest(0, 1 - abs(brightness - 127.5) / 127.5)) as quality from frames),
 m as (select *, max(quality) over (partition by l_orderkey) as mq, max(motion) over (partition by l_orderkey) as mm from q)
-select l_orderkey, frame_index, round(round(0.5 * (case when mq > 0 then greatest(0, least(1, quality / mq)) else 0 end) + 0.25 * (case when mm > 0 then greatest(0, least(1, motion / mm)) else 0 end), 9), 6) as selection_score from m""",
+select l_orderkey, frame_index, round(round(0.75 * (case when mm > 0 then greatest(0, least(1, motion / mm)) else 0 end) + 0.25 * (case when mq > 0 then greatest(0, least(1, quality / mq)) else 0 end), 9), 6) as selection_score from m""",
     "temporal_windows": _with(_FRAMES) + """, m as (select *, min(frame_index) over (partition by l_orderkey) as a, max(frame_index) over (partition by l_orderkey) as b from frames)
 select l_orderkey, frame_index, least(floor((frame_index - a) / greatest(b - a + 1, 1) * 3), 2)::int as window_no from m""",
     "job_latest_state": _with(_STATES) + "select * from states",
@@ -243,3 +249,6 @@ and not coalesce(bool_or(event_type = 'purchase' and status = 'done'), false)"""
     ) + "select term, document_frequency, round(inverse_document_frequency, 9) as inverse_document_frequency from idf",
     "index_incremental": _with(_DOCS, _TF, _IDF) + "select term, document_frequency, round(inverse_document_frequency, 9) as inverse_document_frequency from idf",
 }
+
+# the same rows, from the stored index
+ORACLE |= {"bm25_index_search": ORACLE["bm25_scores"], "tfidf_index_search": ORACLE["tfidf_search"]}

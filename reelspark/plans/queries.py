@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from reelspark.operators import lexical as L
 from reelspark.operators import planner as P
 from reelspark.operators import search as R
 from reelspark.operators import vectors as W
+from reelspark.session import shared_dir
+from reelspark.sources import readers, sinks
 
 SEARCHES = (
     ("s1", "cây cầu treo"), ("s2", "lò nung gốm trước ống kính"), ("s3", "the coastal road in front of the lens"), ("s4", "Silverfen Data Systems Corporation"),
@@ -109,10 +112,7 @@ def entity_email(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entity_acronym(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole words of plain capitals and digits in the OCR text."""
-    words = F.regexp_extract_all("ocr_text", F.lit(r"([\p{L}\p{M}\p{N}_]+)"))
-    found = F.explode(F.array_distinct(F.filter(words, lambda w: w.rlike("^[A-Z][A-Z0-9]+$"))))
-    return table(spark, sf, "documents").select("doc_id", found.alias("entity_text"), F.lit("ORG").alias("entity_type"))
+    return E.pattern_entities(table(spark, sf, "documents"), "combined_text", E.ACRONYM, "ORG", "doc_id")
 
 
 def entity_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,7 +154,7 @@ def _batch_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_normalize(spark: SparkSession, sf: str) -> DataFrame:
     v = W.latest_vectors(table(spark, sf, "embeddings_cache"))
-    return v.select("document_id", "model", F.round(S.l2_norm(F.col("vector")), 5).alias("length"), F.round(S.l2_norm(S.unit(F.col("vector"))), 6).alias("unit_length"))
+    return v.select("document_id", "model", "dimension", F.posexplode(S.unit(F.col("vector"))).alias("i", "x")).withColumn("x", F.round("x", 5) + 0.0)
 
 
 def semantic_knn(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,7 +173,7 @@ def cache_knn(spark: SparkSession, sf: str) -> DataFrame:
 
 def label_centroids(spark: SparkSession, sf: str) -> DataFrame:
     c = W.label_centroids(table(spark, sf, "embeddings"))
-    return c.select("label", "members", F.round(S.l2_norm(F.col("centroid")), 6).alias("centroid_length"))
+    return c.select("label", "members", F.posexplode("centroid").alias("i", "x")).withColumn("x", F.round("x", 6) + 0.0)
 
 
 def histogram_distance(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,7 +244,8 @@ def keyframe_table(spark: SparkSession, sf: str) -> DataFrame:
     o, s = table(spark, sf, "ocr_records"), table(spark, sf, "scenes")
     lines = D.clean_ocr_lines(o)
     k = D.keyframes(o, s, lines, D.repeated_keys(lines, o))
-    return k.select("ocr_id", "keyframe_no", F.size("ocr_lines").alias("n_lines"), F.size("removed_repeated_ocr").alias("n_removed"))
+    keys = lambda c: F.array_join(F.transform(c, X.normalized_key), "|")
+    return k.select("ocr_id", "keyframe_no", keys(F.transform("ocr_lines", lambda x: x["text"])).alias("kept"), keys(F.col("removed_repeated_ocr")).alias("removed"), "ocr_confidence_mean")
 
 
 def preferred_subtitles(spark: SparkSession, sf: str) -> DataFrame:
@@ -295,15 +296,15 @@ def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_packing(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").filter("length(text) > 0")
     chunks = X.chunks_by_length(F.filter(X.sentences(F.col("text")), lambda s: s != ""), 600)
-    return d.select("doc_id", F.posexplode(chunks).alias("chunk_no", "chunk")).select("doc_id", "chunk_no", F.length("chunk").alias("n_chars"))
+    return d.select("doc_id", F.posexplode(chunks).alias("chunk_no", "chunk")).select("doc_id", "chunk_no", "chunk")
 
 
 def hit_links(spark: SparkSession, sf: str) -> DataFrame:
-    return _docs(spark, sf).select("document_id", X.watch_url(F.col("video_id"), F.floor(F.coalesce("start_seconds", F.lit(0.0)))).alias("url"), X.snippet(F.col("combined_text")).alias("snippet"))
+    return _docs(spark, sf).select("document_id", X.watch_url(F.col("video_id"), F.coalesce("start_seconds", F.lit(0.0))).alias("url"), X.snippet(F.col("combined_text")).alias("snippet"))
 
 
 def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return V.stratified(V.eligible(_docs(spark, sf)).filter("start_seconds is not null"), 60).select("n", "video_id", "document_id")
+    return V.stratified(V.eligible(_docs(spark, sf)), 60).select("n", "video_id", "document_id")
 
 
 def token_frequencies(spark: SparkSession, sf: str) -> DataFrame:
@@ -351,7 +352,7 @@ def scene_segmentation(spark: SparkSession, sf: str) -> DataFrame:
 
 def sample_frames(spark: SparkSession, sf: str) -> DataFrame:
     s = K.sample_frames(table(spark, sf, "scenes").filter("duration_seconds is not null"))
-    return s.select("video_id", "scene_id", "target", F.size("frames").alias("n_frames"), F.element_at("frames", 1).alias("first_frame"), F.element_at("frames", -1).alias("last_frame"))
+    return s.select("video_id", "scene_id", "target", F.array_join(F.col("frames").cast("array<string>"), ",").alias("frames"))
 
 
 def _frames(spark: SparkSession, sf: str) -> DataFrame:
@@ -380,6 +381,15 @@ def keyframe_selection(spark: SparkSession, sf: str) -> DataFrame:
     return K.select_diverse(e)
 
 
+def scene_keyframes(spark: SparkSession, sf: str) -> DataFrame:
+    h = F.transform("embedding", lambda x: F.abs(x))
+    e = table(spark, sf, "embeddings").select(
+        F.col("label").cast("string").alias("video_id"), F.format_string("scene-%03d", F.floor(F.col("vec_id") / 12)).alias("scene_id"), F.lit(3).alias("target"), F.col("vec_id").alias("frame_index"),
+        F.get("embedding", F.lit(0)).cast("double").alias("selection_score"), F.abs(F.get("embedding", F.lit(1))).cast("double").alias("edge_density"), h.alias("histogram"), F.slice(h, 1, 8).alias("flow"),
+    )
+    return K.select_in_scene(e)
+
+
 def _states(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").withColumn("status", F.when(F.col("value") >= 50, "done").otherwise("failed"))
     return J.latest_state(e, "user_id", "event_type", "status", "ts", "event_id")
@@ -416,6 +426,37 @@ def index_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return index.idf.withColumn("inverse_document_frequency", F.round("inverse_document_frequency", 9))
 
 
+def _stored(spark: SparkSession, sf: str, level: str = "scene") -> I.Index:
+    """The index written to the shared folder and read back: searches over it see its tables, not the documents' texts."""
+    root = f"{shared_dir(spark)}/reelspark/index-{uuid.uuid4().hex}"
+    if level == "scene":
+        index = I.build(table(spark, sf, "documents"), table(spark, sf, "entity_aliases"))
+    else:
+        index = I.build_levels(_scene_documents(spark, sf), table(spark, sf, "entity_aliases"))[level]
+    sinks.write_index(index, root, level)
+    return readers.index_tables(spark, root, level)
+
+
+def bm25_index_search(spark: SparkSession, sf: str) -> DataFrame:
+    index = _stored(spark, sf)
+    out = L.bm25_scores(index.documents, searches(spark), stored=index.postings, totals=index.totals)
+    return out.withColumn("bm25_score", F.round("bm25_score", 6))
+
+
+def tfidf_index_search(spark: SparkSession, sf: str) -> DataFrame:
+    index = _stored(spark, sf)
+    out = L.tfidf_search(index.terms, index.idf, index.norms, searches(spark))
+    return out.select("query_id", "document_id", F.round("tfidf_score", 6).alias("tfidf_score"), "tfidf_rank")
+
+
+def keyframe_level_search(spark: SparkSession, sf: str) -> DataFrame:
+    return R.search({"keyframe": _stored(spark, sf, "keyframe")}, searches(spark), P.SearchSettings(level="keyframe"))
+
+
+def index_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(spark, sf).entities.select("document_id", "canonical_key", "entity_type").distinct()
+
+
 def hybrid_search(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
     return flagship(spark, sf, asked)
 
@@ -437,7 +478,7 @@ alias_dimension alias_containment canonical_entities entity_search query_entity_
 hashing_embeddings merged_hits hybrid_rrf rerank_blend temporal_dedup cue_scene_overlap cue_at_frame ocr_lines repeated_ocr_keys keyframe_table preferred_subtitles scene_documents
 keyframe_documents best_keyframes manifest_summary search_keys clean_texts mojibake_repair sentence_split chunk_packing hit_links stratified_sample token_frequencies seed_queries eval_details
 eval_report latency_percentiles validate_labels scene_segmentation sample_frames frame_gate selection_score temporal_windows keyframe_selection job_latest_state job_status_histogram job_runnable
-stage_timings index_remove_videos index_incremental hybrid_search tfidf_mode_search""".split()
+stage_timings index_remove_videos index_incremental hybrid_search tfidf_mode_search bm25_index_search tfidf_index_search keyframe_level_search index_entities scene_keyframes""".split()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: globals()[name] for name in _NAMES}
 
