@@ -65,8 +65,7 @@ _PHONE = "|".join((
 ))
 _PHONE = rf"(?<![\w+,$€.-])(?<!\d )(?:{_PHONE})(?![\w-]|[.,]\d| ?[%€$])"
 #: Shorter numbers and those of other shapes are a phone number behind a word that says so.
-_PHONE_CUES = "phone telephone tel mobile cell fax call dial whatsapp zalo gọi điện_thoại số_điện_thoại đt sđt téléphone portable appelez appeler telefone telemóvel celular ligue ligar телефон тел звоните позвоните".split()
-_PHONE_CUED = rf"\b(?:{'|'.join(c.replace('_', ' ') for c in sorted(_PHONE_CUES, key=len, reverse=True))})\b\.?[ :]{{1,3}}(?P<phone>\+?\(?\d(?:[ .()-]{{0,2}}\d){{6,14}})(?![\w-]|[.,]\d| ?[%€$])"
+_PHONE_CUES = frozenset("phone telephone tel mobile cell fax call dial whatsapp zalo gọi điện_thoại số_điện_thoại đt sđt téléphone portable appelez appeler telefone telemóvel celular ligue ligar телефон тел звоните позвоните".replace("_", " ").split()) - {"số", "điện"}
 
 #: Numbers that are an identity number only next to a word that says so: the word before (or after) within one sentence.
 _ID_BEFORE = (
@@ -110,16 +109,15 @@ _RE = [
     ("ID_NUMBER", re.compile(_ID_AFTER, re.I), lambda low: " as " in low or " is " in low or " for " in low),
     ("ID_NUMBER", re.compile(_ID_SHAPE), None),
     ("PHONE", re.compile(_PHONE), None),
-    ("PHONE", re.compile(_PHONE_CUED, re.I), None),
     ("PHONE", re.compile(rf"(?<!\w)(?:{_SPOKEN})", re.I), lambda low: sum(map(_DIGITS.__contains__, low.replace(",", " ").replace("-", " ").split())) >= 6),
 ]
 _ONE = rf"[{_U}](?:\.|[\w'’]*)"  # a word, or an initial with its point
 _PARTICLE = r"(?:d[aeou]|das|dos|del|van|von|der|den)"
 _RUN = re.compile(rf"(?<![\w@.]){_ONE}(?:[- ](?:{_PARTICLE} ){{0,2}}{_ONE})+(?![\w@])")
-#: A single capitalised word behind a title; in a run the title is cut off.
-_TITLED = re.compile(rf"(?<![\w@.])(?i:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? (?P<name>[{_U}][\w'’]+)(?![\w@])")
-#: The same behind a word that introduces a person.
-_INTRODUCED = re.compile(rf"\b(?i:{'|'.join(c.replace('_', ' ') for c in sorted(PERSON_CUES, key=len, reverse=True))})\b\.? (?P<name>[{_U}][\w'’]+)(?![\w@])")
+#: A single capitalised word; it counts behind a title or a word that introduces a person.
+_SINGLE = re.compile(rf"(?<![\w@.])[{_U}][\w'’]+(?![\w@])")
+_BEFORE = re.compile(r"(?:(\w+) )?(\w+)\.? $")
+_INTRODUCING = TITLES | set(PERSON_CUES)
 #: A number that no form claims; the corpus decides by its neighbours and its shape.
 _NUMBER = re.compile(r"(?<![\w@.,/+-])\+?\(?\d(?:[ .()-]{0,2}\d){6,14}(?![\w@]|[.,]\d| ?[%€$])")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -180,6 +178,38 @@ def _beside(plain: str, line: tuple[int, int], a: int, b: int) -> tuple[str, str
         size *= 2
 
 
+def _word_before(plain: str, line: int, a: int) -> str:
+    """The word before a place within its line and sentence, else ``^``."""
+    i = a
+    while i > line and not plain[i - 1].isalnum():
+        i -= 1
+        if plain[i] in ".!?" and plain[i + 1 : i + 2].isspace():
+            return "^"
+    j = i
+    while j > line and (plain[j - 1].isalnum() or plain[j - 1] == "_"):
+        j -= 1
+    return plain[j:i].lower() or "^"
+
+
+def _word_behind(plain: str, line: int, b: int) -> str:
+    """The word behind a place within its line and sentence, else ``$``."""
+    i = b
+    while i < line and not plain[i].isalnum():
+        if plain[i] in ".!?":
+            return "$"
+        i += 1
+    j = i
+    while j < line and (plain[j].isalnum() or plain[j] == "_"):
+        j += 1
+    return plain[i:j].lower() or "$"
+
+
+def _introduced(plain: str, line: int, a: int) -> bool:
+    """True where a title or an introducing word stands right before a place."""
+    before = _BEFORE.search(plain, max(line, a - 40), a)
+    return bool(before) and (before.group(2).lower() in _INTRODUCING or f"{(before.group(1) or '').lower()}_{before.group(2).lower()}" in _INTRODUCING)
+
+
 def spans(text: str) -> list[tuple[str, int, int, str, str, str]]:
     """(kind, start, end, run, left, right): the grammar's finds and, as CANDIDATE and NUMBER, runs of capitalised words and
     numbers that no form claims. Numbers come with their shape (digits as 0) and their neighbours, names with themselves."""
@@ -195,7 +225,7 @@ def spans(text: str) -> list[tuple[str, int, int, str, str, str]]:
 
     zeros = lambda x: re.sub("[0-9]", "0", x)
     shape = lambda a, b: zeros(plain[a:b])
-    near = lambda a, b: tuple(map(zeros, _beside(plain, line(a), a, b)))
+    near = lambda a, b: (zeros(_word_before(plain, line(a)[0], a)), zeros(_word_behind(plain, line(a)[1], b)))
     for kind, pattern, may in _RE:
         if may is not None and not may(low):
             continue
@@ -204,24 +234,29 @@ def spans(text: str) -> list[tuple[str, int, int, str, str, str]]:
             digits = sum(c.isdigit() for c in plain[a:b])
             if kind == "ID_NUMBER" and digits < 6:
                 continue
-            if kind == "PHONE" and digits not in range(7 if m.lastgroup else 10, 16) and plain[a:b][-1].isdigit():
+            if kind == "PHONE" and digits not in range(10, 16) and plain[a:b][-1].isdigit():
                 continue
             if taken.free(a, b):
                 taken.add(a, b)
                 out.append((kind, place(a), place(b), shape(a, b), *near(a, b)) if kind in ("PHONE", "ID_NUMBER") else (kind, place(a), place(b), "", "", ""))
     for m in _NUMBER.finditer(plain):
-        if taken.free(*m.span()):
-            out.append(("NUMBER", place(m.start()), place(m.end()), shape(*m.span()), *near(*m.span())))
+        a, b = m.span()
+        if taken.free(a, b):
+            beside = near(a, b)
+            # shorter numbers and those of other shapes are a phone number right behind a word that says so
+            cued = beside[0] in _PHONE_CUES and plain[max(0, a - 4) : a].rstrip(" :.")[-1:].isalpha()
+            if cued:
+                taken.add(a, b)
+            out.append(("PHONE" if cued else "NUMBER", place(a), place(b), shape(a, b), *beside))
     runs = _Taken()
     found = []
     for m in _RUN.finditer(plain):
         runs.add(*m.span())
         found.append((*m.span(), False))
-    for pattern in (_TITLED, _INTRODUCED):
-        for m in pattern.finditer(plain):
-            if runs.free(*m.span("name")):
-                runs.add(*m.span("name"))
-                found.append((*m.span("name"), True))
+    for m in _SINGLE.finditer(plain):
+        if runs.free(*m.span()) and _introduced(plain, line(m.start())[0], m.start()):
+            runs.add(*m.span())
+            found.append((*m.span(), True))
     for a, b, titled in sorted(found):
         run = plain[a:b].rstrip(".") if not re.search(r"\b\w\.$", plain[a:b]) else plain[a:b]
         first = _WORD.match(run)
