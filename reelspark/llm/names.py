@@ -286,6 +286,9 @@ def name_cost(a: str, b: str, known: frozenset[str]) -> float:
     return cost
 
 
+#: Up to so many rewritings or names (some 100 bytes each) are sent to every executor.
+MOST_SENT = 250_000
+
 # --- linking ----------------------------------------------------------------------------------------------------------
 
 def _forms(names: DataFrame, listed: bool = False) -> DataFrame:
@@ -380,14 +383,17 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
     alias_forms = materialize(_forms(alias_names, listed=True), "alias-forms")
     spread = alias_forms.join(rows, "name").groupBy("form").agg(F.countDistinct("id").alias("rows"))
     rare = spread.select("form", (-F.log("rows")).alias("rarity"))
+    # the rewritings of the alias rows are broadcast only if they are few; what grows with the mentions never is
+    small = alias_forms.count() <= MOST_SENT
+    sent = (lambda df: F.broadcast(df)) if small else (lambda df: df.hint("merge"))
     met = (
-        _forms(names).withColumnRenamed("name", "a").join(alias_forms.withColumnRenamed("name", "b"), "form").join(rare, "form")
+        _forms(names).withColumnRenamed("name", "a").join(sent(alias_forms.withColumnRenamed("name", "b").join(rare.hint("merge"), "form")), "form")
         .groupBy("a", "b").agg(F.max("rarity").alias("rarity"), F.max_by("form", F.struct("rarity", "form")).alias("form"))
     )
     k = known.withColumnRenamed("name", "b").withColumnRenamed("known", "kb")
-    met = met.join(known.withColumnRenamed("name", "a"), "a", "left").join(k, "b", "left").select("a", "b", "form", F.concat(F.coalesce("known", F.array().cast("array<string>")), F.coalesce("kb", F.array().cast("array<string>"))).alias("known"))
+    met = met.join(known.withColumnRenamed("name", "a").hint("merge"), "a", "left").join(k.hint("merge"), "b", "left").select("a", "b", "form", F.concat(F.coalesce("known", F.array().cast("array<string>")), F.coalesce("kb", F.array().cast("array<string>"))).alias("known"))
     met = materialize(met, "met")
-    costs = materialize(_costs(met).filter(F.col("cost") <= most).join(met.select("a", "b", "form"), ["a", "b"]), "costs")
+    costs = materialize(_costs(met).filter(F.col("cost") <= most).join(met.select("a", "b", "form").hint("merge"), ["a", "b"]), "costs")
 
     # rows into entities
     telling = rows.join(parsed.filter("strong").select("name"), "name")
@@ -424,6 +430,7 @@ def link_names(rows: DataFrame, mentions: DataFrame, *, most: float = 2.3, same_
     either = either.withColumn("place", F.row_number().over(lead)).withColumn("second", F.lead("often").over(lead))
     led = either.filter((F.col("place") == 1) & (F.col("often") >= leading * F.greatest("second", F.lit(1)))).select(F.col("a").alias("name"), "entity")
     best = materialize(own.unionByName(led), "best")
+    best = F.broadcast(best) if best.count() <= MOST_SENT else best.hint("merge")
     found = mentions.join(best, "name").select("entity", F.lit("mention").alias("kind"), "id").distinct()
     return entity.select("entity", F.lit("row").alias("kind"), "id").unionByName(found)
 
