@@ -50,6 +50,13 @@ def _clean(e: str) -> str:
     return f"trim(regexp_replace(nfc_normalize(regexp_replace(replace({e}, chr(65279), ' '), '<[^>]+>', ' ', 'g')), '{blank}', ' ', 'g'))"
 
 
+def _repaired(e: str) -> str:
+    """UTF-8 read as Latin-1 read back where all characters allow it and fewer marks of it are left."""
+    count = lambda c: " + ".join(f"(length({c}) - length(replace({c}, {_lit(m)}, ''))) // {len(m)}" for m in X.MOJIBAKE_MARKERS)
+    back = f"(case when regexp_full_match({e}, '[\\x{{00}}-\\x{{ff}}]*') then try(decode(from_hex(array_to_string(list_transform(string_split({e}, ''), lambda c: printf('%02x', unicode(c))), '')))) end)"
+    return f"(case when ({count(e)}) > 0 and {back} is not null and ({count(back)}) < ({count(e)}) then {back} else {e} end)"
+
+
 _DOCS = "docs as (select * from documents where document_id is not null qualify row_number() over (partition by document_id order by generated_at desc nulls last, doc_id desc) = 1)"
 _SEARCHES = "searches(query_id, query) as (values " + ", ".join(f"({_lit(a)}, {_lit(b)})" for a, b in SEARCHES) + ")"
 _TF = f"tf as (select document_id, term, count(*) as tf from (select document_id, unnest({_terms('combined_text')}) as term from docs) group by all)"
@@ -86,7 +93,7 @@ _MERGED = (
   coalesce(bm25_rank, semantic_rank, entity_rank), document_id) as final_rank from scored)"""
 )
 _LINES = f"""lines0 as (select ocr_id, video_id, unnest(lines) as l, generate_subscripts(lines, 1) - 1 as line_no from ocr_records),
-lines1 as (select ocr_id, video_id, line_no, coalesce(l.confidence, 0) as confidence, {_norm_key('nfc_normalize(l.text)')} as key from lines0),
+lines1 as (select ocr_id, video_id, line_no, coalesce(l.confidence, 0) as confidence, {_norm_key('nfc_normalize(' + _repaired('l.text') + ')')} as key from lines0),
 lines as (select * from lines1 where confidence >= 0.5 and length(key) > 0 qualify row_number() over (partition by ocr_id, key order by line_no) = 1)"""
 _REPEATED = """repeated as (select k.video_id, key, frames from (select video_id, key, count(distinct ocr_id) as frames from lines group by all) k
 join (select video_id, count(*) as records from ocr_records group by 1) r using (video_id) where frames >= greatest(3, floor(records * 0.5 + 0.999999)))"""
@@ -189,7 +196,8 @@ and s.start_seconds + o.scene_local_time_seconds between c.start_seconds and c.e
 select o.ocr_id, row_number() over (partition by o.video_id, o.scene_id order by keyframe_path nulls first, o.ocr_id) - 1 as keyframe_no, coalesce(kept, '') as kept, coalesce(removed, '') as removed, c as ocr_confidence_mean
 from ocr_records o join scenes s using (video_id, scene_id) left join per using (ocr_id)""",
     "clean_texts": f"select cue_id, {_clean('text')} as clean from subtitle_cues",
-    "preferred_subtitles": f"""with c0 as (select cue_id, video_id, start_seconds as s, greatest(end_seconds, start_seconds) as e, {_clean('text')} as text, coalesce(language, 'unknown') as language
+    "mojibake_repair": f"select cue_id, text, {_repaired('text')} as repaired from subtitle_cues where {_repaired('text')} <> text",
+    "preferred_subtitles": f"""with c0 as (select cue_id, video_id, start_seconds as s, greatest(end_seconds, start_seconds) as e, {_clean(_repaired('text'))} as text, coalesce(language, 'unknown') as language
   from subtitle_cues where video_id is not null and start_seconds is not null),
 c as (select *, {_norm_key('text')} as key from c0 where length(text) > 0),
 once as (select c.*, sc.scene_id from c join scenes sc on c.video_id = sc.video_id and c.e > sc.start_seconds and c.s < sc.end_seconds
@@ -230,8 +238,8 @@ g as (select video_id, scene_id, case when duration_seconds < 5 then 1 else want
   then list_transform(range(3), lambda i: round_even(start_frame + (final - start_frame) / 2 * i, 0)::bigint)
   else list_transform(range(wanted * 12), lambda i: round_even(lo + (hi - lo) / (wanted * 12 - 1) * i, 0)::bigint) end)) as frames from f)
 select video_id, scene_id, target, array_to_string(frames, ',') as frames from g""",
-    "frame_gate": _with(_FRAMES) + """, g as (select f.*, greatest(a.sharpness, b.sharpness) as around from frames f
-  left join frames a on a.l_orderkey = f.l_orderkey and a.frame_index = f.frame_index - 2 left join frames b on b.l_orderkey = f.l_orderkey and b.frame_index = f.frame_index + 2),
+    "frame_gate": _with(_FRAMES) + """, once as (select l_orderkey, frame_index, max(sharpness) as sharpness from frames group by all), g as (select f.*, greatest(a.sharpness, b.sharpness) as around from frames f
+  left join once a on a.l_orderkey = f.l_orderkey and a.frame_index = f.frame_index - 2 left join once b on b.l_orderkey = f.l_orderkey and b.frame_index = f.frame_index + 2),
 m as (select *, coalesce(sharpness >= 35 and brightness between 25 and 235 and not coalesce(sharpness < around * 0.65, false), false) as ok from g),
 a as (select *, bool_or(ok) over (partition by l_orderkey) as any_ok from m) select l_orderkey, frame_index from a where ok or not any_ok""",
     "selection_score": _with(_FRAMES) + """, q as (select *, sharpness * (0.5 + greatest(0, 1 - abs(brightness - 127.5) / 127.5)) as quality from frames),

@@ -462,15 +462,13 @@ def hybrid_search(spark: SparkSession, sf: str, asked: DataFrame | None = None)
 
 
 def tfidf_mode_search(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
-    index = I.build(table(spark, sf, "documents"), table(spark, sf, "entity_aliases"))
-    return R.search(index, _asked(spark, asked), P.SearchSettings(mode="tfidf"))
+    return R.search(_stored(spark, sf), _asked(spark, asked), P.SearchSettings(mode="tfidf"))
 
 
 def flagship(spark: SparkSession, sf: str, asked: DataFrame | None = None) -> DataFrame:
-    """Hybrid search: BM25, vector and entity lists fused, reranked by the stand-in, thinned out in time."""
-    index = I.build(table(spark, sf, "documents"), table(spark, sf, "entity_aliases"))
+    """Hybrid search: BM25, vector and entity lists fused, reranked by the stand-in, thinned out in time; over a stored index."""
     cache = table(spark, sf, "embeddings_cache").filter("provider = 'hashing'")
-    return R.search(index, _asked(spark, asked), P.SearchSettings(), cache, R.embed_queries(_asked(spark, asked), 64), U.overlap_reranker)
+    return R.search(_stored(spark, sf), _asked(spark, asked), P.SearchSettings(), cache, R.embed_queries(_asked(spark, asked), 64), U.overlap_reranker)
 
 
 _NAMES = """latest_documents term_frequency idf_stats document_norms tfidf_search bm25_scores bm25_search fts_match entity_email entity_acronym entity_rules document_entities
