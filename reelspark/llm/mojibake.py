@@ -20,6 +20,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -40,6 +41,8 @@ _RUN = re.compile(r"[^\x00-\x7f]+")
 _FLOOR = 1e-7
 #: Expected counts are summed as whole millionths, so that their sum does not depend on the order of the parts.
 _UNIT = 1_000_000
+#: Votes are summed as whole billionths, for in a pattern of many words each is small.
+_VOTE = 1_000_000_000
 
 
 def _framed(word: str) -> str:
@@ -454,38 +457,52 @@ def _pattern(word: str) -> str:
     return "".join(c if ord(c) < 128 else chr(0xE000 + min(seen.setdefault(c, len(seen)), 0xFFF)) for c in re.sub("[0-9]", "0", word))
 
 
-def _votes(words: DataFrame, alphabet: Alphabet, chars: list[str], most: int) -> dict[str, np.ndarray]:
+def _votes(words: DataFrame, alphabet: Alphabet, chars: list[str]) -> dict[str, np.ndarray]:
     """For each source a first table of letters: words vote for the words of equal pattern that are more frequent.
 
-    Only patterns of at most ``most`` words vote, for others say nothing; this is a start, which every word then corrects.
+    Every pattern votes, whatever number of words it holds. A word with a total count of n gives each other word of at least
+    n its square of the share in them. Words of one pattern differ in the characters of their slots only, so that the
+    words above n are summed once for each slot and letter: the work grows with the words, not with their pairs.
     """
     number = {c: i for i, c in enumerate(chars)}
     odd = words.filter(F.col("word").rlike("[^\\x00-\\x7f].*[^\\x00-\\x7f]")).withColumn("pattern", F.udf(_pattern, T.StringType(), useArrow=True)("word"))
-    odd = materialize(odd, "patterns")
-    lexicon = odd.groupBy("pattern", "word").agg(F.sum("n").alias("n"))
-    # few words only are gathered, whatever a pattern holds
-    small = lexicon.groupBy("pattern").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size").between(2, most)).select("pattern")
-    listed = lexicon.join(small, "pattern").groupBy("pattern").agg(F.collect_list(F.struct("word", "n")).alias("like"))
+    lexicon = odd.groupBy("pattern", "word").agg(F.sum("n").alias("n"), F.collect_list("src").alias("sources"))
     letters = {c: i for i, c in enumerate(alphabet.letters)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: Counter = Counter()
-        for batch in batches:
-            for src, word, like in zip(*(c.to_pylist() for c in batch.columns)):
-                counts = {x["word"]: x["n"] for x in like}
-                better = {x: n for x, n in counts.items() if x != word and n >= counts[word]}
-                total = sum(better.values())
-                for x, n in better.items():
-                    for a, b in set(zip(word, x)):
-                        if a != b and a in number and b in letters:
-                            sums[src, number[a], letters[b]] += round((n / total) ** 2 * _UNIT)
-        keys = list(sums)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.int32()), pa.array([sums[k] for k in keys], pa.int64())], names=["src", "a", "b", "w"])
-
-    voted = odd.join(listed, "pattern").select("src", "word", "like").mapInArrow(run, "src string, a int, b int, w bigint")
+        # a source's characters by letters, as whole numbers: their sum does not depend on the order of the parts
+        out: dict[tuple[str, str], np.ndarray] = defaultdict(lambda: np.zeros(len(letters), np.int64))
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for _, alike in groupby(rows, key=lambda r: r[0]):
+            total, squares = 0, defaultdict(Counter)
+            for n, level in groupby(alike, key=lambda r: r[2]):
+                voters: dict[int, Counter] = defaultdict(Counter)
+                for _, word, _, sources in level:
+                    total += n
+                    for slot, c in enumerate(dict.fromkeys(c for c in word if ord(c) > 127)):
+                        if c in letters:
+                            squares[slot][letters[c]] += n * n
+                        if c in number:
+                            voters[slot].update((src, c) for src in sources)
+                if total == n:  # the first word has none above it
+                    continue
+                for slot, who in voters.items():
+                    to = np.fromiter(squares[slot], int)
+                    vote = np.fromiter(squares[slot].values(), float) * (_VOTE / (total - n) ** 2)
+                    for key, k in who.items():
+                        out[key][to] += np.rint(k * vote).astype(np.int64)
+        for (src, c), row in out.items():
+            if c in letters:  # a word with the same letter there is no vote
+                row[letters[c]] = 0
+        found = [(src, number[c], int(b), int(row[b])) for (src, c), row in out.items() for b in np.flatnonzero(row)]
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32(), pa.int64()))], names=["src", "a", "b", "w"])
+
+    # the words of a pattern follow each other, the most frequent first, so that none but sums are held
+    voted = lexicon.repartition("pattern").sortWithinPartitions("pattern", F.desc("n")).mapInArrow(run, "src string, a int, b int, w bigint")
     out: dict[str, np.ndarray] = defaultdict(lambda: np.full((len(chars) + 1, len(letters)), 1e-3))
-    for src, a, b, w in voted.groupBy("src", "a", "b").agg(F.sum("w").alias("w")).collect():
-        out[src][a, b] += w / _UNIT
+    for batch in voted.groupBy("src", "a", "b").agg(F.sum("w").alias("w")).toArrow().to_batches():
+        for src, a, b, w in zip(*(c.to_pylist() for c in batch.columns)):
+            out[src][a, b] += w / _VOTE
     return {s: v / v.sum(0, keepdims=True) for s, v in out.items()}
 
 
@@ -756,7 +773,7 @@ def learn(texts: DataFrame, rounds: int = 8, *, start: bool = True, letters: int
         for i, page in enumerate(_pages(pairs, chars)):
             table = _completed(page) if start else {c: b for c, (b, _) in page.items()}
             ciphers.append(Cipher(f"utf-8>learnt {i + 1}", {c: chr(_PRIVATE + 128 + b) for c, b in table.items()}, True))
-        votes = _votes(high, alphabet, chars, most=64)
+        votes = _votes(high, alphabet, chars)
         if votes:
             within = contexts.filter(F.col("src").isin(*votes))
             expected, swapped, _ = _rounds(within, alphabet, counts - garbled[:-1, :-1], own, chars, votes, False, max(1, rounds - 3))

@@ -2,11 +2,13 @@
 
 import random
 import time
+from collections import Counter, defaultdict
+from itertools import permutations
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from reelspark.llm import lookalike, mixing, names, neighbours, pii, rank_fusion
+from reelspark.llm import lookalike, mixing, mojibake, names, neighbours, pii, rank_fusion
 
 
 def rows(df):
@@ -142,3 +144,27 @@ def test_fusion_with_clashing_names_and_one_group(spark):
     df = spark.createDataFrame([("q", f"d{k}", float(k), -1.0) for k in range(50)], "q string, d string, x double, m double")
     out = rank_fusion.fuse_scores(df, group="q", item="d", scores={"x": (1.0, True), "m": (1.0, True)})
     assert [r.d for r in out.orderBy("fused_rank").limit(2).collect()] == ["d49", "d48"]
+
+
+def test_words_of_every_pattern_vote(spark):
+    """120 words of one pattern, many with equal counts, and some of smaller ones: the votes are those of all pairs of words."""
+    rnd = random.Random(9)
+    letters = list("абвгде")
+    data = [(rnd.choice("st"), "".join(w), rnd.choice([1, 1, 2, 5, 40])) for w in permutations(letters, 3)]
+    data += [("t", w, 3) for _, w, _ in data[::4]] + [("s", "x" + "".join(w), 2 + i) for i, w in enumerate(permutations("абв", 2))] + [("t", "еxе", 4), ("s", "аxа", 7), ("t", "ггдд", 9)]
+    data = list({(s, w): (s, w, n) for s, w, n in data}.values())
+    total, alike = Counter(), defaultdict(set)
+    for _, w, n in data:
+        total[w] += n
+        alike[mojibake._pattern(w)].add(w)
+    assert max(map(len, alike.values())) == 120
+    votes = defaultdict(lambda: np.full((len(letters) + 1, len(letters)), 1e-3))
+    for s, w, _ in data:
+        better = [x for x in alike[mojibake._pattern(w)] if x != w and total[x] >= total[w]]
+        for x in better:
+            for a, b in {(a, b) for a, b in zip(w, x) if a != b}:
+                votes[s][letters.index(a), letters.index(b)] += (total[x] / sum(total[y] for y in better)) ** 2
+    got = mojibake._votes(spark.createDataFrame(data, "src string, word string, n bigint").repartition(7), mojibake.Alphabet(letters), letters)
+    assert set(got) == {"s", "t"}
+    for s, v in votes.items():
+        assert np.allclose(got[s], v / v.sum(0, keepdims=True), atol=1e-7)
