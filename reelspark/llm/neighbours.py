@@ -33,6 +33,11 @@ def _coarse(unit: np.ndarray) -> np.ndarray:
     return np.rint(unit * (127 / np.abs(unit).max(axis=1, keepdims=True))).astype(np.int8)
 
 
+def _float(coarse: np.ndarray) -> np.ndarray:
+    unit = coarse.astype(np.float32)
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
 def _rotate(v: np.ndarray, signs: np.ndarray) -> np.ndarray:
     """Three rounds of random signs and a fast Walsh-Hadamard transform, over the next power of two of coordinates."""
     n, size = v.shape[0], signs.shape[1]
@@ -59,8 +64,10 @@ def _axes(x: np.ndarray, probes: int) -> np.ndarray:
 
 #: Above the error of a cosine between coarse vectors: rows within it of the k-th best are kept for the exact comparison.
 SCREEN = 0.01
-#: Up to so many groups (of 12 bytes each) are broadcast.
+#: Up to so many groups (of 16 bytes each) are broadcast.
 FEW_GROUPS = 50_000
+#: About so many bytes of coarse vectors are compared by one call.
+PART_BYTES = 32_000_000
 
 
 class CrossPolytope:
@@ -88,11 +95,28 @@ class CrossPolytope:
             code = np.concatenate([near + last[:, :1], near[:, :1] + last[:, 1:]], axis=1)
         return code
 
+    def places(self, unit: np.ndarray, table: int, probes: int, blocks: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """``row, part, one, two, home``: where rows stand and ask in a table. A part holds the buckets of one nearest axis, or one
+        of ``blocks`` of them; ``one`` and ``two`` (-1 where there is none) are buckets in it. A row's own bucket comes first; as
+        that of the second axis' runner-up has the same nearest axis, the row goes to their part once and asks in both."""
+        codes, wide, first = self.codes(unit, table, probes), max(1, 2 * self.last), min(probes, self.size)
+        part, one = codes // wide * blocks + codes % wide % blocks, (codes % wide).astype(np.int32)
+        two, rows = np.full(len(unit), -1, np.int32), np.arange(len(unit))
+        apart = np.zeros(len(unit), bool)
+        if codes.shape[1] > first:
+            apart = part[:, 0] != part[:, first]
+            yield rows, part[:, 0], one[:, 0], np.where(apart, -1, one[:, first]).astype(np.int32), True
+            yield rows[apart], part[apart, first], one[apart, first], two[apart], False
+        else:
+            yield rows, part[:, 0], one[:, 0], two, True
+        for probe in range(1, first):
+            yield rows, part[:, probe], one[:, probe], two, False
+
 
 def similar_vectors(
     vectors: DataFrame, *, id: str, vector: str, groups: list[str], k: int = 5, min_cosine: float = -1.0,
     tables: int = 5, probes: int = 2, rows_per_bucket: int = 256, full_bucket: int = 4096, query: Column | None = None, seed: int = 5,
-    sure: float | None = None, rows_per_part: int = 20_000,
+    sure: float | None = None, rows_per_part: int = 20_000, part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """``id_a, id_b, cosine, place``: for each row its ``k`` most similar rows among those of equal ``groups``.
 
@@ -100,7 +124,8 @@ def similar_vectors(
     of each of ``tables`` tables and asks in ``probes`` buckets of it; the rows met there are compared exactly. ``query``
     restricts the asking rows, not the rows asked. Recall grows with tables and probes; see the README for measurements.
 
-    The number of buckets follows each group's number of rows. A bucket with more than ``full_bucket`` rows is cut into
+    The number of buckets follows each group's number of rows. Neighbouring buckets, up to about ``part_bytes`` of coarse
+    vectors, make a part, to which a row is sent once whatever buckets of it concern it. A bucket with more than ``full_bucket`` rows is cut into
     squares that together compare all its pairs, so that no task holds an unbounded bucket and no pair is lost; the work
     in such a bucket grows with the square of its rows. Rows with exactly the same direction are hashed once: one of
     them asks, and its copies, being at cosine 1 to each other, come before all others in the order of their ids.
@@ -127,13 +152,15 @@ def similar_vectors(
     columns = ["g", "id", "asks", "v"]
     rows = materialize(base.join(again, ["g", "h"], "left_anti").select(*columns).unionByName(copies.select("g", F.col("rep").alias("id"), F.col("any_asks").alias("asks"), "v")), "rows")
 
-    # the last axis of the codes follows each group's size: one number for each group
+    # the last axis of the codes and the parts follow each group's size: two numbers for each group
     sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("v")).alias("dim"))
     power = F.ceil(F.log2(F.greatest(F.col("dim"), F.lit(2))))
     wanted = F.col("rows") / F.lit(float(rows_per_bucket)) / F.pow(2.0, power + 1)
     last = F.when(wanted <= 1, 0).otherwise(F.least(F.pow(2.0, power), F.pow(2.0, F.ceil(F.log2(wanted)) - 1))).cast("int")
     # one row a group: broadcast if they are few, else a join on the group would put each group into one task
-    sizes = materialize(sizes.select("g", last.alias("last")), "groups")
+    bytes_ = F.col("rows") / F.pow(2.0, power + 1) * F.col("dim") * probes
+    blocks = F.least(F.greatest(2 * last, F.lit(1)), F.pow(2.0, F.ceil(F.log2(F.greatest(bytes_ / part_bytes, F.lit(1.0)))))).cast("int")
+    sizes = materialize(sizes.select("g", last.alias("last"), blocks.alias("blocks")), "groups")
     hashable = rows.join(F.broadcast(sizes) if sizes.count() <= FEW_GROUPS else sizes, "g")
 
     def hashed(homes_only: bool):
@@ -142,55 +169,65 @@ def similar_vectors(
             for batch in batches:
                 pdf = batch.to_pandas()
                 dims = pdf["v"].map(len)
-                for (dim, last_), part in pdf.groupby([dims, "last"], sort=False):
+                for (dim, last_, blocks_), rows_ in pdf.groupby([dims, "last", "blocks"], sort=False):
                     dim, last_ = int(dim), int(last_)
                     if (dim, last_) not in made:
                         made[dim, last_] = CrossPolytope(dim, tables, last_, seed)
-                    hash_, unit = made[dim, last_], _unit(list(part["v"]), dim)
+                    hash_, unit, asking = made[dim, last_], _unit(list(rows_["v"]), dim), rows_["asks"].to_numpy(bool)
                     for table in range(tables):
-                        codes = hash_.codes(unit, table, 1 if homes_only else probes)
-                        for probe in range(codes.shape[1]):
-                            keep = np.ones(len(part), bool) if probe == 0 else part["asks"].to_numpy(bool)
+                        for at, part, one, two, home in hash_.places(unit, table, 1 if homes_only else probes, int(blocks_)):
+                            keep = np.ones(len(at), bool) if home else asking[at]
                             if not keep.any():
                                 continue
-                            out = part[keep]
-                            cols = {"g": pa.array(out["g"]), "table": pa.array(np.full(len(out), table, np.int32)), "code": pa.array(codes[keep, probe])}
+                            out, at = rows_.iloc[at[keep]], at[keep]
+                            cols = {"g": pa.array(out["g"]), "table": pa.array(np.full(len(out), table, np.int32)), "part": pa.array(part[keep]), "one": pa.array(one[keep])}
                             if not homes_only:
-                                blob = pa.array([r.tobytes() for r in _coarse(unit[keep])], pa.binary())
-                                cols |= {"id": pa.array(out["id"]), "home": pa.array(np.full(len(out), probe == 0)), "asks": pa.array(out["asks"].to_numpy(bool)), "u": blob}
+                                blob = pa.array([r.tobytes() for r in _coarse(unit[at])], pa.binary())
+                                other = np.where(asking[at], two[keep], -1).astype(np.int32)
+                                cols |= {"two": pa.array(other), "id": pa.array(out["id"]), "home": pa.array(np.full(len(out), home)), "asks": pa.array(asking[at]), "u": blob}
                             yield pa.RecordBatch.from_pydict(cols)
 
         return run
 
-    key = ["g", "table", "code"]
-    layout = f"g bigint, table int, code bigint, id {kind}, home boolean, asks boolean, u binary"
+    key = ["g", "table", "part"]
+    layout = f"g bigint, table int, part bigint, one int, two int, id {kind}, home boolean, asks boolean, u binary"
     tasks = hashable.mapInArrow(hashed(False), layout)
-    counted = hashable.mapInArrow(hashed(True), "g bigint, table int, code bigint").groupBy(*key).count()
-    full = counted.filter(F.col("count") > full_bucket).select(*key, F.ceil(F.col("count") / full_bucket).cast("int").alias("side"))
+    counted = hashable.mapInArrow(hashed(True), "g bigint, table int, part bigint, one int").groupBy(*key, "one").count()
+    full = counted.filter(F.col("count") > full_bucket).select(*key, "one", F.ceil(F.col("count") / full_bucket).cast("int").alias("side"))
     full = materialize(full, "full")
-    tasks = tasks.withColumn("chunk", F.lit(0)) if full.isEmpty() else _in_chunks(tasks, full, key)
+    if not full.isEmpty():
+        tasks, key = _in_chunks(tasks, full, key), [*key, "bucket", "chunk"]
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = pdf["id"].to_numpy()
-        unit = np.frombuffer(b"".join(pdf["u"]), dtype=np.int8).reshape(len(pdf), -1).astype(np.float32)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        here = np.flatnonzero(pdf["home"].to_numpy(bool))
-        asking = np.flatnonzero(pdf["asks"].to_numpy(bool))
+        ids, one, two = (pdf[c].to_numpy() for c in ("id", "one", "two"))
+        home, asks = pdf["home"].to_numpy(bool), pdf["asks"].to_numpy(bool)
+        coarse = np.frombuffer(b"".join(pdf["u"]), dtype=np.int8).reshape(len(pdf), -1)
         out_a, out_b = [ids[:0]], [ids[:0]]
-        for at in range(0, len(asking), 1024):
-            q = asking[at : at + 1024]
-            cos = unit[q] @ unit[here].T
-            cos[ids[q][:, None] == ids[here][None, :]] = -2
-            floor = np.full(len(q), max(min_cosine, -1.0) - SCREEN, np.float32)
-            if k < len(here):
-                floor = np.maximum(floor, -np.partition(-cos, k - 1, axis=1)[:, k - 1] - 2 * SCREEN)
-            r, c = np.nonzero(cos >= floor[:, None])
-            out_a.append(ids[q][r])
-            out_b.append(ids[here][c])
+        # the rows of each bucket lie together: those that stand in it, and those that ask in it by one code or the other
+        stand, ask = np.flatnonzero(home), np.concatenate([np.flatnonzero(asks), np.flatnonzero(asks & (two >= 0))])
+        asked = np.concatenate([one[asks], two[asks & (two >= 0)]])
+        stand, order = stand[np.argsort(one[stand], kind="stable")], np.argsort(asked, kind="stable")
+        ask, asked = ask[order], asked[order]
+        for bucket in np.unique(asked):
+            here = stand[slice(*np.searchsorted(one[stand], [bucket, bucket + 1]))]
+            asking = ask[slice(*np.searchsorted(asked, [bucket, bucket + 1]))]
+            if not len(here):
+                continue
+            there = _float(coarse[here])
+            for at in range(0, len(asking), 1024):
+                q = asking[at : at + 1024]
+                cos = _float(coarse[q]) @ there.T
+                cos[ids[q][:, None] == ids[here][None, :]] = -2
+                floor = np.full(len(q), max(min_cosine, -1.0) - SCREEN, np.float32)
+                if k < len(here):
+                    floor = np.maximum(floor, -np.partition(-cos, k - 1, axis=1)[:, k - 1] - 2 * SCREEN)
+                r, c = np.nonzero(cos >= floor[:, None])
+                out_a.append(ids[q][r])
+                out_b.append(ids[here][c])
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         return pd.DataFrame({"g": np.full(len(a), pdf["g"].iloc[0], np.int64), "id_a": a, "id_b": b})
 
-    met = tasks.groupBy("g", "table", "code", "chunk").applyInPandas(compare, f"g bigint, id_a {kind}, id_b {kind}").distinct()
+    met = tasks.groupBy(*key).applyInPandas(compare, f"g bigint, id_a {kind}, id_b {kind}").distinct()
     # few and narrow rows that several branches read: written once, or every branch would compare the buckets again
     met = materialize(met, "met")
     met = materialize(_exact_cosine(met, rows).filter(F.col("cosine") >= min_cosine), "cosines")
@@ -242,19 +279,32 @@ def _made_sure(met: DataFrame, rows: DataFrame, k: int, min_cosine: float, sure:
 
 
 def _in_chunks(tasks: DataFrame, full: DataFrame, key: list[str]) -> DataFrame:
-    """``tasks`` with ``chunk``: the buckets in ``full`` are cut into ``side`` x ``side`` squares of home rows against asking rows.
+    """``tasks`` with ``bucket`` and ``chunk``: the buckets in ``full`` are cut into ``side`` x ``side`` squares of home rows
+    against asking rows; what is not full stays together, as bucket -1.
 
     A home row goes to the squares of its column, an asking row to those of its line, so that every pair of the bucket
     meets in one square, which holds a ``side``-th of the bucket's home rows and of its asking rows.
     """
-    own, across = F.pmod(F.xxhash64("id", F.lit(3)), F.col("side")).cast("int"), F.sequence(F.lit(0), F.col("side") - 1)
-    place = lambda chunk, home, asks: F.struct(chunk.cast("int").alias("chunk"), home.alias("home"), asks.alias("asks"))
-    none = F.array().cast("array<struct<chunk:int,home:boolean,asks:boolean>>")
-    column = F.when(F.col("home"), F.transform(across, lambda j: place(own * F.col("side") + j, F.lit(True), F.lit(False)))).otherwise(none)
-    line = F.when(F.col("asks"), F.transform(across, lambda j: place(j * F.col("side") + own, F.lit(False), F.lit(True)))).otherwise(none)
-    places = F.when(F.col("side").isNull(), F.array(place(F.lit(0), F.col("home"), F.col("asks")))).otherwise(F.concat(column, line))
-    others = [c for c in tasks.columns if c not in ("home", "asks")]
-    return tasks.join(full, key, "left").select(*others, F.explode(places).alias("at")).select(*others, "at.home", "at.asks", "at.chunk")
+    sides = full.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("one", "side"))).alias("sides"))
+    side = {c: F.try_element_at("sides", F.col(c)) for c in ("one", "two")}
+    no, yes, apart = F.lit(False), F.lit(True), F.lit(-1)
+    place = lambda bucket, chunk, one, two, home, asks: F.struct(*[x.cast(t).alias(n) for x, t, n in ((bucket, "int", "bucket"), (chunk, "int", "chunk"), (one, "int", "one"), (two, "int", "two"), (home, "boolean", "home"), (asks, "boolean", "asks"))])
+    none = F.array().cast("array<struct<bucket:int,chunk:int,one:int,two:int,home:boolean,asks:boolean>>")
+
+    def squares(of: str, home: Column, asks: Column) -> Column:
+        n, bucket = side[of], F.col(of)
+        own, across = F.pmod(F.xxhash64("id", F.lit(3)), n).cast("int"), F.sequence(F.lit(0), n - 1)
+        column = F.when(home, F.transform(across, lambda j: place(bucket, own * n + j, bucket, apart, yes, no))).otherwise(none)
+        line = F.when(asks, F.transform(across, lambda j: place(bucket, j * n + own, bucket, apart, no, yes))).otherwise(none)
+        return F.concat(column, line)
+
+    home, asks, one, two = (F.col(c) for c in ("home", "asks", "one", "two"))
+    first = F.when(side["one"].isNull(), F.array(place(apart, F.lit(0), one, apart, home, asks))).otherwise(squares("one", home, asks))
+    second = F.when(two < 0, none).when(side["two"].isNull(), F.array(place(apart, F.lit(0), two, apart, no, yes))).otherwise(squares("two", no, yes))
+    together = F.array(place(apart, F.lit(0), one, two, home, asks))
+    places = F.when(side["one"].isNull() & side["two"].isNull(), together).otherwise(F.concat(first, second))
+    others = [*key, "id", "u"]
+    return tasks.join(sides, key, "left").select(*others, F.explode(places).alias("at")).select(*others, "at.*")
 
 
 def _exact_cosine(met: DataFrame, rows: DataFrame) -> DataFrame:

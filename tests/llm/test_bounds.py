@@ -168,3 +168,34 @@ def test_words_of_every_pattern_vote(spark):
     assert set(got) == {"s", "t"}
     for s, v in votes.items():
         assert np.allclose(got[s], v / v.sum(0, keepdims=True), atol=1e-7)
+
+
+def test_a_row_goes_once_to_the_buckets_of_its_nearest_axis():
+    """Two rows a table instead of three, for the same buckets; with blocks more rows, and still the same buckets."""
+    unit = np.random.default_rng(4).normal(size=(500, 24))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    hash_ = neighbours.CrossPolytope(24, 5, 8, 5)
+    for table in range(5):
+        codes = hash_.codes(unit, table, 2)
+        for blocks, sent in ((1, [1000]), (4, range(1001, 1500)), (16, [1500])):
+            got, homes, n = defaultdict(set), {}, 0
+            for at, part, one, two, home in hash_.places(unit, table, 2, blocks):
+                n += len(at)
+                for i, p, x, y in zip(at, part, one, two):
+                    assert x % blocks == p % blocks and (y < 0 or y % blocks == p % blocks)
+                    got[i] |= {p // blocks * 16 + z for z in (x, y) if z >= 0}
+                    if home:
+                        homes[i] = p // blocks * 16 + x
+            assert n in sent, (blocks, n)
+            assert all(got[i] == set(codes[i]) and homes[i] == codes[i, 0] for i in range(500))
+
+
+def test_parts_do_not_change_the_result(spark):
+    """Whole parts, parts of some buckets and full buckets in squares give the same neighbours."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(300, 16))
+    v = centres[rng.integers(0, 300, 1500)] + 0.2 * rng.normal(size=(1500, 16))
+    df = spark.createDataFrame([(i, x.astype(np.float32).tolist()) for i, x in enumerate(v)], "id bigint, v array<float>")
+    near = lambda **kw: sorted(rows(neighbours.similar_vectors(df, id="id", vector="v", groups=[], k=5, min_cosine=0.9, rows_per_bucket=8, query=F.col("id") % 3 < 2, **kw)))
+    whole = near()
+    assert len(whole) > 2000 and near(part_bytes=400) == whole and near(full_bucket=10) == whole and near(part_bytes=400, full_bucket=10) == whole
