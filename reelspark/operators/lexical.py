@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from reelspark.functions import scores as S
 from reelspark.functions import text as X
+from reelspark.operators.blocks import block_scores, many
+from reelspark.session import materialize
 
 # The weight of each text field in BM25.
 FIELD_WEIGHTS = {"subtitle_text": 1.5, "ocr_text": 0.7, "combined_text": 1.0, "entities_text": 2.5}
@@ -90,12 +92,24 @@ def bm25_by_postings(hits: DataFrame, totals: DataFrame, asked: DataFrame, id: s
     return weighed.join(asked, "term").groupBy("query_id", id).agg(F.round(-F.sum("part"), 9).alias("bm25_score"))
 
 
-def bm25_scores(docs: DataFrame, queries: DataFrame, weights: dict[str, float] | None = None, id: str = "document_id", k1: float = 1.2, b: float = 0.75, stored: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
+def bm25_in_blocks(docs: DataFrame, queries: DataFrame, weights: dict[str, float], id: str, k1: float = 1.2, b: float = 0.75, stored: DataFrame | None = None, totals: DataFrame | None = None, **kw) -> DataFrame:
+    """The rows of :func:`bm25_scores` for many queries: postings are packed, nothing is shuffled by query and document."""
+    if stored is None or totals is None:
+        stored, totals = materialize(_weighed_terms(docs, weights, id), "postings"), corpus_totals(docs, weights)
+    f, dl = F.col("f"), F.col("dl")
+    values = stored.crossJoin(F.broadcast(totals)).select("term", id, (f * (k1 + 1) / (f + k1 * (1 - b + b * dl / F.col("avgdl")))).alias("value"))  # totals is one row
+    df = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    asked = terms_of_queries(queries, True).join(df, "term").crossJoin(F.broadcast(totals)).select("query_id", "term", S.bm25_idf(F.col("df"), F.col("n")).alias("weight"))
+    out = block_scores(values, asked, id, **kw)
+    return out.withColumn("score", F.lit(0.0) - F.col("score")).withColumnRenamed("score", "bm25_score")
+
+
+def bm25_scores(docs: DataFrame, queries: DataFrame, weights: dict[str, float] | None = None, id: str = "document_id", k1: float = 1.2, b: float = 0.75, stored: DataFrame | None = None, totals: DataFrame | None = None, digits: int = 9) -> DataFrame:
     """``query_id, id, bm25_score`` of every document with a query term in any field; the more negative the better.
 
     A term's frequency is the weighted sum over the fields, its document frequency counts rows with it in any field, and
     a row's length is its number of tokens over all fields. Only the query's terms are ever shuffled; with ``stored``
-    postings and ``totals`` no text is read.
+    postings and ``totals`` no text is read. Many queries are scored in blocks (if all weights are above 0).
     """
     asked = terms_of_queries(queries, True).select("query_id", "term")
     terms = asked.select("term").distinct()
@@ -103,8 +117,11 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, weights: dict[str, float] |
         hits = stored.join(terms, "term")
     else:
         hits, totals = _weighed_terms(docs, weights or FIELD_WEIGHTS, id, terms), corpus_totals(docs, weights)
-    return bm25_by_postings(hits, totals, asked, id, k1, b)
+    scores = bm25_by_postings(hits, totals, asked, id, k1, b)
+    return scores if digits >= 9 else scores.withColumn("bm25_score", F.round("bm25_score", digits))
 
+    if min((weights or FIELD_WEIGHTS).values()) > 0 and many(queries):
+        return bm25_in_blocks(docs, queries, weights or FIELD_WEIGHTS, id, k1, b, stored, totals, digits=digits)
 
 def bm25_search(docs: DataFrame, queries: DataFrame, limit: int = 50, entity_hits: DataFrame | None = None, id: str = "document_id", text: str = "combined_text", stored: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
     """``query_id, id, bm25_score, entity_hit, overlap, bm25_rank``.
