@@ -118,8 +118,9 @@ def _batches(fields: list, columns: list[list], full: int) -> Iterator[pa.Record
             c.clear()
 
 
-def _scorer(limit: int | None, digits: int | None, query_type: pa.DataType) -> Callable:
+def _scorer(limit: int | None, digits: int | None, query_type: pa.DataType, names: list[str], sign: int) -> Callable:
     """``limit`` None: all sums, rounded to 9 and then ``digits`` digits (None: without the sums)."""
+    named = lambda kinds: list(map(pa.field, names, kinds))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, dict]]:
         rows, block = [], None
@@ -136,13 +137,13 @@ def _scorer(limit: int | None, digits: int | None, query_type: pa.DataType) -> C
         fields, columns = None, [[], [], []] if digits is not None else [[], []]
         for block, pack in load(batches):
             ids = pack["ids"]
-            fields = [pa.field("query_id", query_type), pa.field("id", ids.type), pa.field("score", pa.float64())][: len(columns)]
+            fields = named([query_type, ids.type, pa.float64()][: len(columns)])
             for u, acc in block.sums(pack):
                 found = np.flatnonzero(acc)
                 own = ids.take(pa.array(found))
                 if digits is not None:
                     n = billionths(acc[found] / block.asked[u][1])
-                    score = pa.array(n / 1e9 if digits >= 9 else (n + 5 * 10 ** (8 - digits)) // 10 ** (9 - digits) / 10**digits)
+                    score = pa.array(sign * (n if digits >= 9 else (n + 5 * 10 ** (8 - digits)) // 10 ** (9 - digits)) / 10 ** min(digits, 9))
                 for q in block.asked[u][2]:
                     columns[0].append(pa.repeat(pa.scalar(q, query_type), len(found)))
                     columns[1].append(own)
@@ -196,14 +197,14 @@ def _scorer(limit: int | None, digits: int | None, query_type: pa.DataType) -> C
                 n_of[u, : len(n)], at[u, : len(n)], overlap[u, : len(n)] = n, found, shared
         if block is None or not all_ids:
             return
-        fields = [pa.field("query_id", query_type), pa.field("id", all_ids[0].type), pa.field("score", pa.float64()), pa.field("overlap", pa.int32())]
+        fields = named([query_type, all_ids[0].type, pa.float64(), pa.int32()])
         starts = np.cumsum([0, *map(len, all_ids)])
         ids, columns = pa.chunked_array(all_ids).combine_chunks(), [[], [], [], []]
-        for u, (_, _, names) in enumerate(block.asked):
+        for u, (_, _, same) in enumerate(block.asked):
             if c := int(count[u]):
                 own = ids.take(pa.array(starts[at[u, :c] >> 32] + (at[u, :c] & 0xFFFFFFFF)))
-                for q in names:
-                    for column, x in zip(columns, (pa.repeat(pa.scalar(q, query_type), c), own, pa.array(n_of[u, :c] / 1e9), pa.array(overlap[u, :c]))):
+                for q in same:
+                    for column, x in zip(columns, (pa.repeat(pa.scalar(q, query_type), c), own, pa.array(sign * n_of[u, :c] / 1e9), pa.array(overlap[u, :c]))):
                         column.append(x)
                     yield from _batches(fields, columns, OUT_ROWS // 10)
         yield from _batches(fields, columns, 1)
@@ -211,13 +212,14 @@ def _scorer(limit: int | None, digits: int | None, query_type: pa.DataType) -> C
     return every if limit is None else best
 
 
-def block_scores(values: DataFrame, asked: DataFrame, id: str = "document_id", limit: int | None = None, norms: DataFrame | None = None, texts: DataFrame | None = None, digits: int | None = 9) -> DataFrame:
+def block_scores(values: DataFrame, asked: DataFrame, id: str = "document_id", limit: int | None = None, norms: DataFrame | None = None, texts: DataFrame | None = None, digits: int | None = 9, score: str = "score", sign: int = 1) -> DataFrame:
     """``query_id, id, score`` of every document with a term that a query asks: the sum of weight x value, rounded to 9 digits.
 
     ``values`` has ``term, id, value`` (to be stored: it is read twice), ``asked`` ``query_id, term, weight`` and maybe ``scale``, by which
     a query's sums are divided; ``norms`` (``id, norm``) divides a document's values. Values and weights are above 0. With
     ``limit`` only the best of each query stay, the smaller id first where scores are equal, with ``overlap``: how many of the
     query's terms are in ``texts`` (``term, id``). Without it all stay, rounded once more to ``digits``; None gives the pairs alone.
+    Scores are called ``score`` and have the ``sign``; tasks give them so, for another step would copy every row.
 
     A task holds one pack of postings, its queries with their best, and the ids of all documents.
     """
@@ -240,6 +242,6 @@ def block_scores(values: DataFrame, asked: DataFrame, id: str = "document_id", l
     each = packs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     mixed = queries.unionByName(each, allowMissingColumns=True).repartitionById(n_blocks, F.col("block")).sortWithinPartitions("pack")
     id_type, query_type = values.schema[id].dataType, asked.schema["query_id"].dataType
-    out = [T.StructField("query_id", query_type), T.StructField("id", id_type), T.StructField("score", T.DoubleType()), T.StructField("overlap", T.IntegerType())]
+    out = [T.StructField("query_id", query_type), T.StructField(id, id_type), T.StructField(score, T.DoubleType()), T.StructField("overlap", T.IntegerType())]
     schema = T.StructType(out if limit is not None else out[: 2 + (digits is not None)])
-    return mixed.drop("block").mapInArrow(_scorer(limit, digits, to_arrow_type(query_type)), schema).withColumnRenamed("id", id)
+    return mixed.drop("block").mapInArrow(_scorer(limit, digits, to_arrow_type(query_type), schema.names, sign), schema)

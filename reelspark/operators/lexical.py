@@ -100,8 +100,7 @@ def bm25_in_blocks(docs: DataFrame, queries: DataFrame, weights: dict[str, float
     values = stored.crossJoin(F.broadcast(totals)).select("term", id, (f * (k1 + 1) / (f + k1 * (1 - b + b * dl / F.col("avgdl")))).alias("value"))  # totals is one row
     df = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     asked = terms_of_queries(queries, True).join(df, "term").crossJoin(F.broadcast(totals)).select("query_id", "term", S.bm25_idf(F.col("df"), F.col("n")).alias("weight"))
-    out = block_scores(values, asked, id, **kw)
-    return out.withColumn("score", F.lit(0.0) - F.col("score")).withColumnRenamed("score", "bm25_score")
+    return block_scores(values, asked, id, score="bm25_score", sign=-1, **kw)
 
 
 def bm25_scores(docs: DataFrame, queries: DataFrame, weights: dict[str, float] | None = None, id: str = "document_id", k1: float = 1.2, b: float = 0.75, stored: DataFrame | None = None, totals: DataFrame | None = None, digits: int = 9) -> DataFrame:
@@ -143,7 +142,10 @@ def bm25_search(docs: DataFrame, queries: DataFrame, limit: int = 50, entity_hit
 
 
 def match_any(docs: DataFrame, queries: DataFrame, id: str = "document_id", fields: tuple[str, ...] = tuple(FIELD_WEIGHTS)) -> DataFrame:
-    """``query_id, id`` of the documents with any of a query's terms in any of the indexed fields."""
+    """``query_id, id`` of the documents with any of a query's terms in any of the indexed fields; of many queries in blocks."""
     every = F.array_distinct(F.flatten(F.array(*[F.coalesce(X.tokens(F.col(f)), F.array().cast("array<string>")) for f in fields])))
     words = docs.select(id, F.explode(every).alias("term"))
     return words.join(terms_of_queries(queries, True).select("query_id", "term"), "term").select("query_id", id).distinct()
+    if many(queries):
+        values, asked = materialize(words, "words").withColumn("value", F.lit(1.0)), terms_of_queries(queries, True)
+        return block_scores(values, asked.select("query_id", "term", F.lit(1.0).alias("weight")), id, digits=None)

@@ -63,3 +63,8 @@ def test_other_ids(spark, monkeypatch, docs, queries):
     """Ids of another type, and packs whose number follows their order."""
     d = docs.filter("document_id is not null").withColumn("document_id", F.substring("document_id", 2, 3).cast("bigint"))
     both(monkeypatch, lambda: L.bm25_scores(d, queries))
+
+
+def test_many_matches(monkeypatch, docs, queries):
+    plan = both(monkeypatch, lambda: L.match_any(docs.filter("document_id is not null"), queries))
+    assert plan.count("MapInArrow") == 2 and "hashpartitioning(query_id" not in plan.split("MapInArrow")[0]
