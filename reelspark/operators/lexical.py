@@ -54,9 +54,17 @@ def ranked(df: DataFrame, order: list, limit: int, rank: str, by: str = "query_i
 
 
 def tfidf_search(tf: DataFrame, idf: DataFrame, norms: DataFrame, queries: DataFrame, limit: int = 50, id: str = "document_id") -> DataFrame:
-    """``query_id, id, tfidf_score, tfidf_rank``: cosine of the tf-idf vectors; terms unknown to the index are ignored."""
+    """``query_id, id, tfidf_score, tfidf_rank``: cosine of the tf-idf vectors; terms unknown to the index are ignored.
+
+    Many queries are scored in blocks; ``tf`` is then read more than once and should be stored.
+    """
     q = terms_of_queries(queries, False).join(idf, "term").withColumn("qw", S.log_tf(F.col("qtf")) * F.col("inverse_document_frequency"))
     qnorm = q.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
+    if many(queries):
+        asked = q.join(qnorm, "query_id").select("query_id", "term", (F.col("qw") * F.col("inverse_document_frequency")).alias("weight"), F.col("qnorm").alias("scale"))
+        values = tf.filter(F.col(id).isNotNull()).select("term", id, S.log_tf(F.col("tf")).alias("value"))
+        best = block_scores(values, asked, id, limit, norms.filter(F.col(id).isNotNull()).select(id, F.col("vector_norm").alias("norm")))
+        return ranked(best.select("query_id", id, F.col("score").alias("tfidf_score")), [F.desc("tfidf_score"), id], limit, "tfidf_rank")
     dots = tf.join(q, "term").groupBy("query_id", id).agg(F.sum(F.col("qw") * S.log_tf(F.col("tf")) * F.col("inverse_document_frequency")).alias("dot"))
     scored = dots.join(qnorm, "query_id").join(norms, id).select("query_id", id, F.round(F.col("dot") / (F.col("qnorm") * F.col("vector_norm")), 9).alias("tfidf_score"))
     return ranked(scored, [F.desc("tfidf_score"), id], limit, "tfidf_rank")

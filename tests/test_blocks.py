@@ -68,3 +68,14 @@ def test_other_ids(spark, monkeypatch, docs, queries):
 def test_many_matches(monkeypatch, docs, queries):
     plan = both(monkeypatch, lambda: L.match_any(docs.filter("document_id is not null"), queries))
     assert plan.count("MapInArrow") == 2 and "hashpartitioning(query_id" not in plan.split("MapInArrow")[0]
+
+
+def test_many_tfidf_searches(monkeypatch, docs, queries):
+    d = docs.filter("document_id is not null")
+    tf = L.term_frequencies(d).cache()
+    idf = L.idf_stats(tf)
+    for limit in (3, 50):
+        plan = both(monkeypatch, lambda: L.tfidf_search(tf, idf, L.document_norms(tf, idf), queries, limit))
+        assert "MapInArrow" in plan and "hashpartitioning(query_id" not in plan.split("MapInArrow")[1].split("MapInArrow")[0]
+        monkeypatch.undo()
+        monkeypatch.setattr(B, "PACK_ROWS", 40)
