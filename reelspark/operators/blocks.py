@@ -61,11 +61,11 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     value = np.add.reduceat(value[at][order], first) if len(first) else np.zeros(0)
     within = np.unique(doc[kind == 2] * nt + term[kind == 2])
     body = {
-        "terms": terms.dictionary.to_pylist(), "ptr": np.searchsorted(key, np.arange(nt + 1) * nd), "doc": (key % max(nd, 1)).astype(np.int32), "value": value, "n": nd, "ids": ids.dictionary,
+        "terms": terms.dictionary.to_pylist(), "ptr": np.searchsorted(key, np.arange(nt + 1) * nd).astype(np.int32), "doc": (key % max(nd, 1)).astype(np.uint16 if nd <= 1 << 16 else np.int32), "value": value, "n": nd, "ids": ids.dictionary,
         "own_ptr": np.searchsorted(within, np.arange(nd + 1) * nt).astype(np.int32), "own": (within % max(nt, 1)).astype(np.int32),
     }
     raw = pickle.dumps(body, protocol=5)
-    yield pa.RecordBatch.from_pydict({"pack": pa.array([TaskContext.get().partitionId()], pa.int32()), "size": pa.array([len(raw)], pa.int64()), "body": pa.array([pa.compress(raw, "lz4_raw", asbytes=True)], pa.binary())})
+    yield pa.RecordBatch.from_pydict({"pack": pa.array([TaskContext.get().partitionId()], pa.int32()), "size": pa.array([len(raw)], pa.int64()), "body": pa.array([pa.compress(raw, "zstd", asbytes=True)], pa.binary())})
 
 
 class _Block:
@@ -82,14 +82,14 @@ class _Block:
     def sums(self, pack: dict) -> Iterator[tuple[int, np.ndarray]]:
         """Each query's sums over the documents of ``pack``, in one array that the next query overwrites."""
         slot = {t: i for i, t in enumerate(pack["terms"])}
-        nd, ptr, parts, slots = pack["n"], pack["ptr"], [], []
+        nd, ptr, of, parts, slots = pack["n"], pack["ptr"], pack["doc"].astype(np.intp), [], []
         for term, weight in self.keys:
             s = slot.get(term)
             slots.append(s)
             if s is None or ptr[s] == ptr[s + 1]:
                 parts.append(None)
                 continue
-            docs, v = pack["doc"][ptr[s] : ptr[s + 1]], pack["value"][ptr[s] : ptr[s + 1]] * weight
+            docs, v = of[ptr[s] : ptr[s + 1]], pack["value"][ptr[s] : ptr[s + 1]] * weight
             if len(docs) * 12 > nd:  # a frequent term is added as a whole
                 dense = np.zeros(nd)
                 dense[docs] = v
@@ -131,7 +131,7 @@ def _scorer(limit: int | None, digits: int | None, query_type: pa.DataType, name
                 else:
                     block = block or _Block(rows)
                     if block.asked:
-                        yield block, pickle.loads(pa.decompress(b.column("body")[i].as_buffer(), decompressed_size=b.column("size")[i].as_py(), codec="lz4_raw", asbytes=True))
+                        yield block, pickle.loads(pa.decompress(b.column("body")[i].as_buffer(), decompressed_size=b.column("size")[i].as_py(), codec="zstd", asbytes=True))
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields, columns = None, [[], [], []] if digits is not None else [[], []]

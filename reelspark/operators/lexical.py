@@ -118,6 +118,8 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, weights: dict[str, float] |
     a row's length is its number of tokens over all fields. Only the query's terms are ever shuffled; with ``stored``
     postings and ``totals`` no text is read. Many queries are scored in blocks (if all weights are above 0).
     """
+    if min((weights or FIELD_WEIGHTS).values()) > 0 and many(queries):
+        return bm25_in_blocks(docs, queries, weights or FIELD_WEIGHTS, id, k1, b, stored, totals, digits=digits)
     asked = terms_of_queries(queries, True).select("query_id", "term")
     terms = asked.select("term").distinct()
     if stored is not None and totals is not None:
@@ -127,19 +129,21 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, weights: dict[str, float] |
     scores = bm25_by_postings(hits, totals, asked, id, k1, b)
     return scores if digits >= 9 else scores.withColumn("bm25_score", F.round("bm25_score", digits))
 
-    if min((weights or FIELD_WEIGHTS).values()) > 0 and many(queries):
-        return bm25_in_blocks(docs, queries, weights or FIELD_WEIGHTS, id, k1, b, stored, totals, digits=digits)
 
 def bm25_search(docs: DataFrame, queries: DataFrame, limit: int = 50, entity_hits: DataFrame | None = None, id: str = "document_id", text: str = "combined_text", stored: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
     """``query_id, id, bm25_score, entity_hit, overlap, bm25_rank``.
 
     The best 4 x ``limit`` by score are put in the order: matched by a query entity (``entity_hits``: ``query_id, id``),
-    then more distinct query terms in the text, then the better score, then the id.
+    then more distinct query terms in the text, then the better score, then the id. Many queries are scored in blocks.
     """
-    wide = ranked(bm25_scores(docs, queries, id=id, stored=stored, totals=totals), ["bm25_score", id], 4 * limit, "by_score")
-    asked = queries.select("query_id", X.query_terms(F.col("query")).alias("qt"))
-    wide = wide.join(docs.select(id, F.col(text).alias("__text")), id).join(asked, "query_id")
-    wide = wide.withColumn("overlap", F.size(F.array_intersect("qt", X.tokens(F.col("__text")))))
+    if many(queries):
+        own = docs.select(id, F.explode(F.array_distinct(X.tokens(F.col(text)))).alias("term"))
+        wide = bm25_in_blocks(docs, queries, FIELD_WEIGHTS, id, stored=stored, totals=totals, limit=4 * limit, texts=own).filter(F.col("query_id").isNotNull() & F.col(id).isNotNull())
+    else:
+        wide = ranked(bm25_scores(docs, queries, id=id, stored=stored, totals=totals), ["bm25_score", id], 4 * limit, "by_score")
+        asked = queries.select("query_id", X.query_terms(F.col("query")).alias("qt"))
+        wide = wide.join(docs.select(id, F.col(text).alias("__text")), id).join(asked, "query_id")
+        wide = wide.withColumn("overlap", F.size(F.array_intersect("qt", X.tokens(F.col("__text")))))
     if entity_hits is not None:
         wide = wide.join(entity_hits.select("query_id", id).distinct().withColumn("hit", F.lit(True)), ["query_id", id], "left")
         wide = wide.withColumn("entity_hit", F.coalesce("hit", F.lit(False)))
@@ -153,7 +157,7 @@ def match_any(docs: DataFrame, queries: DataFrame, id: str = "document_id", fiel
     """``query_id, id`` of the documents with any of a query's terms in any of the indexed fields; of many queries in blocks."""
     every = F.array_distinct(F.flatten(F.array(*[F.coalesce(X.tokens(F.col(f)), F.array().cast("array<string>")) for f in fields])))
     words = docs.select(id, F.explode(every).alias("term"))
-    return words.join(terms_of_queries(queries, True).select("query_id", "term"), "term").select("query_id", id).distinct()
     if many(queries):
         values, asked = materialize(words, "words").withColumn("value", F.lit(1.0)), terms_of_queries(queries, True)
         return block_scores(values, asked.select("query_id", "term", F.lit(1.0).alias("weight")), id, digits=None)
+    return words.join(terms_of_queries(queries, True).select("query_id", "term"), "term").select("query_id", id).distinct()

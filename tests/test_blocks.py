@@ -79,3 +79,15 @@ def test_many_tfidf_searches(monkeypatch, docs, queries):
         assert "MapInArrow" in plan and "hashpartitioning(query_id" not in plan.split("MapInArrow")[1].split("MapInArrow")[0]
         monkeypatch.undo()
         monkeypatch.setattr(B, "PACK_ROWS", 40)
+
+
+def test_many_bm25_searches(monkeypatch, docs, queries):
+    """Also with entity hits and over stored postings; texts are read once, not for each hit."""
+    d = docs.filter("document_id is not null")
+    flagged = queries.filter("query_id < 'q100'").select("query_id", F.lit("d017").alias("document_id"))
+    for stored in ({}, {"stored": L.postings(d).cache(), "totals": L.corpus_totals(d)}):
+        for limit in (2, 30):
+            plan = both(monkeypatch, lambda: L.bm25_search(d, queries, limit, flagged, **stored))
+            assert plan.count("MapInArrow") == 2
+            monkeypatch.undo()
+            monkeypatch.setattr(B, "PACK_ROWS", 40)
