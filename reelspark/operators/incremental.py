@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelspark.operators import documents as D
 from reelspark.operators import entities as E
 from reelspark.operators import lexical as L
+from reelspark.session import materialize
 
 
 @dataclass(frozen=True)
@@ -39,16 +40,29 @@ def found_entities(documents: DataFrame, aliases: DataFrame) -> DataFrame:
     return E.document_entities(documents, aliases, suppress=E.suppressed(documents.sparkSession), listed=listed)
 
 
-def build(docs: DataFrame, aliases: DataFrame) -> Index:
-    """The whole index from documents (insert-or-replace by ``document_id``) and alias records."""
-    documents, dim = L.latest_documents(docs), E.alias_dimension(aliases)
-    return _statistics(documents, L.term_frequencies(documents), found_entities(documents, dim), dim)
+def build(docs: DataFrame, aliases: DataFrame, once: bool = False) -> Index:
+    """The whole index from documents (insert-or-replace by ``document_id``) and alias records.
+
+    Each of its tables is a plan of its own that begins with ``docs``. With ``once`` documents and terms are stored first, so that
+    to write them all makes the documents a single time.
+    """
+    keep = materialize if once else lambda df, name: df
+    documents, dim = keep(L.latest_documents(docs), "documents"), E.alias_dimension(aliases)
+    return _statistics(documents, keep(L.term_frequencies(documents), "terms"), found_entities(documents, dim), dim)
+
+
+def _stamped(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("generated_at", F.lit(None).cast("string")).withColumn("doc_id", F.lit(0).cast("bigint")).withColumn("entities_text", F.lit(""))
+
+
+def keyframe_index(scene_docs: DataFrame, aliases: DataFrame, once: bool = False) -> Index:
+    """The index of the keyframes of scene documents (:func:`documents.scene_documents`)."""
+    return build(_stamped(D.keyframe_documents(scene_docs)), aliases, once)
 
 
 def build_levels(scene_docs: DataFrame, aliases: DataFrame) -> dict[str, Index]:
     """An index of scene documents (:func:`documents.scene_documents`) and one of their keyframes."""
-    stamped = lambda df: df.withColumn("generated_at", F.lit(None).cast("string")).withColumn("doc_id", F.lit(0).cast("bigint")).withColumn("entities_text", F.lit(""))
-    return {"scene": build(stamped(scene_docs), aliases), "keyframe": build(stamped(D.keyframe_documents(scene_docs)), aliases)}
+    return {"scene": build(_stamped(scene_docs), aliases), "keyframe": keyframe_index(scene_docs, aliases)}
 
 
 def remove_videos(index: Index, videos: DataFrame) -> Index:
