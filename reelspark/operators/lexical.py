@@ -70,14 +70,14 @@ def tfidf_search(tf: DataFrame, idf: DataFrame, norms: DataFrame, queries: DataF
     return ranked(scored, [F.desc("tfidf_score"), id], limit, "tfidf_rank")
 
 
-def _weighed_terms(docs: DataFrame, weights: dict[str, float], id: str, terms: DataFrame | None = None) -> DataFrame:
-    """``term, id, f, dl``: each document's terms (of ``terms`` only, if given) with their weighted frequency and its length."""
+def _weighed_terms(docs: DataFrame, weights: dict[str, float], id: str, terms: DataFrame | None = None, text: str | None = None) -> DataFrame:
+    """``term, id, f, dl``: each document's terms (of ``terms`` only, if given) with their weighted frequency and its length; with ``text`` also ``own``: whether that field has the term."""
     words = docs.select(id, *[X.tokens(F.col(f)).alias(f) for f in weights]).withColumn("dl", reduce(lambda a, c: a + c, [F.size(f) for f in weights]))
-    fields = F.array(*[F.struct(F.lit(w).alias("w"), F.col(f).alias("t")) for f, w in weights.items()])
-    each = words.select(id, "dl", F.explode(fields).alias("f")).select(id, "dl", F.col("f.w").alias("w"), F.explode("f.t").alias("term"))
+    fields = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(f == text).alias("own"), F.col(f).alias("t")) for f, w in weights.items()])
+    each = words.select(id, "dl", F.explode(fields).alias("f")).select(id, "dl", F.col("f.w").alias("w"), F.col("f.own").alias("own"), F.explode("f.t").alias("term"))
     if terms is not None:
         each = each.join(terms, "term")
-    return each.groupBy("term", id, "dl").agg(F.sum("w").alias("f"))
+    return each.groupBy("term", id, "dl").agg(F.sum("w").alias("f"), *([F.max("own").alias("own")] if text else []))
 
 
 def postings(docs: DataFrame, weights: dict[str, float] | None = None, id: str = "document_id") -> DataFrame:
@@ -100,10 +100,16 @@ def bm25_by_postings(hits: DataFrame, totals: DataFrame, asked: DataFrame, id: s
     return weighed.join(asked, "term").groupBy("query_id", id).agg(F.round(-F.sum("part"), 9).alias("bm25_score"))
 
 
-def bm25_in_blocks(docs: DataFrame, queries: DataFrame, weights: dict[str, float], id: str, k1: float = 1.2, b: float = 0.75, stored: DataFrame | None = None, totals: DataFrame | None = None, **kw) -> DataFrame:
-    """The rows of :func:`bm25_scores` for many queries: postings are packed, nothing is shuffled by query and document."""
+def bm25_in_blocks(docs: DataFrame, queries: DataFrame, weights: dict[str, float], id: str, k1: float = 1.2, b: float = 0.75, stored: DataFrame | None = None, totals: DataFrame | None = None, text: str | None = None, **kw) -> DataFrame:
+    """The rows of :func:`bm25_scores` for many queries: postings are packed, nothing is shuffled by query and document.
+
+    With ``text``, one of the fields, and a ``limit`` the query's terms in that text are counted as ``overlap``.
+    """
     if stored is None or totals is None:
-        stored, totals = materialize(_weighed_terms(docs, weights, id), "postings"), corpus_totals(docs, weights)
+        stored, totals = materialize(_weighed_terms(docs, weights, id, text=text), "postings"), materialize(corpus_totals(docs, weights), "totals")
+    if text:
+        own = stored.filter("own").select("term", id) if "own" in stored.columns else docs.select(id, F.explode(F.array_distinct(X.tokens(F.col(text)))).alias("term"))
+        kw["texts"] = own
     f, dl = F.col("f"), F.col("dl")
     values = stored.crossJoin(F.broadcast(totals)).select("term", id, (f * (k1 + 1) / (f + k1 * (1 - b + b * dl / F.col("avgdl")))).alias("value"))  # totals is one row
     df = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -136,9 +142,8 @@ def bm25_search(docs: DataFrame, queries: DataFrame, limit: int = 50, entity_hit
     The best 4 x ``limit`` by score are put in the order: matched by a query entity (``entity_hits``: ``query_id, id``),
     then more distinct query terms in the text, then the better score, then the id. Many queries are scored in blocks.
     """
-    if many(queries):
-        own = docs.select(id, F.explode(F.array_distinct(X.tokens(F.col(text)))).alias("term"))
-        wide = bm25_in_blocks(docs, queries, FIELD_WEIGHTS, id, stored=stored, totals=totals, limit=4 * limit, texts=own).filter(F.col("query_id").isNotNull() & F.col(id).isNotNull())
+    if text in FIELD_WEIGHTS and many(queries):
+        wide = bm25_in_blocks(docs, queries, FIELD_WEIGHTS, id, stored=stored, totals=totals, limit=4 * limit, text=text).filter(F.col("query_id").isNotNull() & F.col(id).isNotNull())
     else:
         wide = ranked(bm25_scores(docs, queries, id=id, stored=stored, totals=totals), ["bm25_score", id], 4 * limit, "by_score")
         asked = queries.select("query_id", X.query_terms(F.col("query")).alias("qt"))
